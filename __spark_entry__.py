@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks import fixtures as fx
 from checks import oracles
 from ledgerstar.operators import dimensions, quality
-from ledgerstar.operators.rollups import revenue, rollup
+from ledgerstar.operators.rollups import REVENUE, rollup
 from ledgerstar.plans import batch, charts, reports
 from ledgerstar.schemas import (
     FACT_PARTITIONS,
@@ -193,12 +193,8 @@ def _partitioned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Aggregate over the partition columns of the written fact."""
     return rollup(
         _parquet_by_month(spark, sf_dir), "tx_year", "tx_month", "transaction_type"
-    ).select(
-        "tx_year",
-        "tx_month",
-        "transaction_type",
-        F.col("tx_count").alias("row_count"),
-        revenue().alias("revenue"),
+    ).selectExpr(
+        "tx_year", "tx_month", "transaction_type", "tx_count AS row_count", f"{REVENUE} AS revenue"
     )
 
 

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import datetime
-import itertools
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerstar.operators.cleanse import cleanse
 from ledgerstar.operators import dimensions, facts
@@ -37,40 +36,32 @@ ACCOUNTS = {
 ALL_TYPES = tuple(TYPES.values())
 
 
-def _translate(column: str, values: dict[str, str]):
-    table = F.create_map(*[F.lit(part) for part in itertools.chain(*values.items())])
-    return table[F.col(column)]
+def _translate(column: str, values: dict[str, str]) -> str:
+    branches = " ".join(f"WHEN '{key}' THEN '{value}'" for key, value in values.items())
+    return f"CASE {column} {branches} END"
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = F.col("o_orderkey")
-    offset = F.make_dt_interval(
-        F.lit(0), (order % 24).cast("int"), (order % 60).cast("int"), F.lit(0)
-    )
-    amount = F.col("o_totalprice").cast("decimal(18,2)") * F.lit("0.01").cast("decimal(3,2)")
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        order.cast("string").alias("transaction_id"),
-        F.col("o_custkey").alias("customer_id"),
-        (F.col("o_orderdate") + offset).alias("transaction_date"),
-        _translate("o_orderpriority", TYPES).alias("transaction_type"),
-        amount.cast("decimal(18,4)").alias("amount"),
-        _translate("o_orderstatus", STATUSES).alias("status"),
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "CAST(o_orderkey AS STRING) AS transaction_id",
+        "o_custkey AS customer_id",
+        "o_orderdate + make_dt_interval(0, int(o_orderkey % 24), int(o_orderkey % 60), 0)"
+        " AS transaction_date",
+        f"{_translate('o_orderpriority', TYPES)} AS transaction_type",
+        "CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.01BD AS DECIMAL(18,4)) AS amount",
+        f"{_translate('o_orderstatus', STATUSES)} AS status",
     )
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, name = F.col("c_custkey"), F.col("c_name")
-    joined = F.date_add(F.lit(datetime.date(1996, 8, 2)), ((key * 37) % 1825).cast("int"))
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
-        key.alias("customer_id"),
-        F.split_part(name, F.lit("#"), F.lit(1)).alias("first_name"),
-        F.split_part(name, F.lit("#"), F.lit(2)).alias("last_name"),
-        F.concat(F.lower(F.replace(name, F.lit("#"), F.lit("."))), F.lit("@example.com")).alias(
-            "email"
-        ),
-        F.lpad(key.cast("string"), 10, "0").alias("phone_number"),
-        _translate("c_mktsegment", ACCOUNTS).alias("account_type"),
-        joined.alias("join_date"),
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
+        "c_custkey AS customer_id",
+        "split_part(c_name, '#', 1) AS first_name",
+        "split_part(c_name, '#', 2) AS last_name",
+        "lower(replace(c_name, '#', '.')) || '@example.com' AS email",
+        "lpad(CAST(c_custkey AS STRING), 10, '0') AS phone_number",
+        f"{_translate('c_mktsegment', ACCOUNTS)} AS account_type",
+        "date_add(DATE '1996-08-02', int((c_custkey * 37) % 1825)) AS join_date",
     )
 
 

@@ -1,41 +1,36 @@
-"""Calendar expressions. All accept DATE, TIMESTAMP and TIMESTAMP_NTZ columns."""
+"""Calendar expressions as SQL text, for DATE, TIMESTAMP and TIMESTAMP_NTZ columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 from ledgerstar.schemas import DAY_LABELS
 
 
-def date_key(moment: Column) -> Column:
+def date_key(moment: str) -> str:
     """``yyyyMMdd`` as an int. Arithmetic on date parts, as formatting text per row costs more."""
-    return F.year(moment) * 10000 + F.month(moment) * 100 + F.dayofmonth(moment)
+    return f"(year({moment}) * 10000 + month({moment}) * 100 + day({moment}))"
 
 
-def date_of_key(key: Column) -> Column:
+def date_of_key(key: str) -> str:
     """The date behind a ``yyyyMMdd`` int."""
-    return F.make_date(
-        F.call_function("div", key, F.lit(10000)).cast("int"),
-        F.call_function("div", key % 10000, F.lit(100)).cast("int"),
-        key % 100,
-    )
+    return f"make_date(int({key} div 10000), int({key} % 10000 div 100), {key} % 100)"
 
 
-def is_weekend(moment: Column) -> Column:
+def is_weekend(moment: str) -> str:
     """True on Saturday and Sunday; an unknown day is not a weekend."""
-    return F.coalesce(F.dayofweek(moment).isin(1, 7), F.lit(False))
+    return f"coalesce(dayofweek({moment}) IN (1, 7), false)"
 
 
-def period_label(year: Column, month: Column) -> Column:
+def period_label(year: str, month: str) -> str:
     """``YYYY-MM``."""
-    return F.concat(year.cast("string"), F.lit("-"), F.lpad(month.cast("string"), 2, "0"))
+    return f"concat({year}, '-', lpad({month}, 2, '0'))"
 
 
-def day_label(day_of_week: Column) -> Column:
+def day_label(day_of_week: str) -> str:
     """``Sun`` … ``Sat`` for 1 … 7."""
-    return F.element_at(F.array(*[F.lit(label) for label in DAY_LABELS]), day_of_week)
+    labels = ", ".join(f"'{label}'" for label in DAY_LABELS)
+    return f"element_at(array({labels}), {day_of_week})"
 
 
-def hour_label(hour: Column) -> Column:
+def hour_label(hour: str) -> str:
     """``00:00`` … ``23:00``."""
-    return F.format_string("%02d:00", hour)
+    return f"format_string('%02d:00', {hour})"

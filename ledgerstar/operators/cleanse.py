@@ -17,14 +17,13 @@ def cleanse(
     A null status is dropped with the removed ones. The flag looks at the amount before
     rounding, and is false for a null amount.
     """
-    amount, moment = F.col("amount"), F.col("transaction_date")
     return transactions.filter(F.col("status") != removed_status).withColumns(
         {
-            "is_anomaly": F.coalesce(amount > threshold, F.lit(False)),
-            "tx_year": F.year(moment),
-            "tx_month": F.month(moment),
-            "tx_day_of_week": F.dayofweek(moment),
-            "tx_hour": F.hour(moment),
-            "amount": F.round(amount, 2).cast("double"),
+            "is_anomaly": F.coalesce(F.col("amount") > threshold, F.lit(False)),
+            "tx_year": F.expr("year(transaction_date)"),
+            "tx_month": F.expr("month(transaction_date)"),
+            "tx_day_of_week": F.expr("dayofweek(transaction_date)"),
+            "tx_hour": F.expr("hour(transaction_date)"),
+            "amount": F.expr("CAST(round(amount, 2) AS DOUBLE)"),
         }
     )

@@ -33,23 +33,22 @@ def dim_date(observed: DataFrame) -> DataFrame:
     once per date and only dates are shuffled.
     """
     if "date_key" in observed.columns:
-        dates = observed.select("date_key").distinct().select(
-            calendar.date_of_key(F.col("date_key")).alias("full_date")
+        dates = observed.select("date_key").distinct().selectExpr(
+            f"{calendar.date_of_key('date_key')} AS full_date"
         )
     else:
-        dates = observed.select(F.to_date("transaction_date").alias("full_date")).distinct()
-    day = F.col("full_date")
-    return dates.select(
-        calendar.date_key(day).alias("date_key"),
-        day,
-        F.year(day).alias("year"),
-        F.quarter(day).alias("quarter"),
-        F.month(day).alias("month"),
-        F.date_format(day, "MMMM").alias("month_name"),
-        F.dayofmonth(day).alias("day"),
-        F.dayofweek(day).alias("day_of_week"),
-        F.date_format(day, "EEEE").alias("day_name"),
-        calendar.is_weekend(day).alias("is_weekend"),
+        dates = observed.selectExpr("to_date(transaction_date) AS full_date").distinct()
+    return dates.selectExpr(
+        f"{calendar.date_key('full_date')} AS date_key",
+        "full_date",
+        "year(full_date) AS year",
+        "quarter(full_date) AS quarter",
+        "month(full_date) AS month",
+        "date_format(full_date, 'MMMM') AS month_name",
+        "day(full_date) AS day",
+        "dayofweek(full_date) AS day_of_week",
+        "date_format(full_date, 'EEEE') AS day_name",
+        f"{calendar.is_weekend('full_date')} AS is_weekend",
     ).orderBy("date_key")
 
 

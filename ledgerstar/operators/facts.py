@@ -15,11 +15,11 @@ def fact_transactions(processed: DataFrame, types: DataFrame) -> DataFrame:
     choice is left to Spark because a caller may bring a dimension of any size.
     """
     keys = types.select("type_key", "type_name")
-    moment = F.col("transaction_date")
-    return processed.join(keys, F.col("transaction_type") == F.col("type_name"), "left").select(
+    joined = processed.join(keys, F.col("transaction_type") == F.col("type_name"), "left")
+    return joined.selectExpr(
         "transaction_id",
         "customer_id",
-        calendar.date_key(moment).alias("date_key"),
+        f"{calendar.date_key('transaction_date')} AS date_key",
         "type_key",
         "transaction_type",
         "amount",

@@ -38,33 +38,33 @@ def profile(
     removed_status: str = REMOVED_STATUS,
 ) -> DataFrame:
     """One row with all counts and amount statistics. Unused columns are pruned by Catalyst."""
-    status = F.col("status")
-    amount = F.round(F.col("amount"), 2).cast("double")
+    rounded = "CAST(round(amount, 2) AS DOUBLE)"
+    removed = F.col("status") == removed_status
     return transactions.agg(
-        F.count("*").alias("row_count"),
-        F.count_if(status != removed_status).alias("kept_rows"),
-        F.count_if(status == removed_status).alias("removed_rows"),
-        F.count_if(status.isNull()).alias("null_status_rows"),
-        *[F.count_if(_missing(transactions, name)).alias(f"null_{name}") for name in critical],
-        F.count_if(F.col("amount") <= 0).alias("non_positive_amounts"),
-        F.count(amount).alias("amount_count"),
-        F.min(amount).alias("amount_min"),
-        F.max(amount).alias("amount_max"),
-        money.sum_blocks(amount).alias("amount_blocks"),
-        money.sum_rest(amount).alias("amount_rest"),
-        F.stddev_samp(amount).alias("amount_stddev"),
+        F.expr("count(*) AS row_count"),
+        F.count_if(~removed).alias("kept_rows"),
+        F.count_if(removed).alias("removed_rows"),
+        F.expr("count_if(status IS NULL) AS null_status_rows"),
+        *[F.expr(f"count_if({_missing(transactions, c)}) AS null_{c}") for c in critical],
+        F.expr("count_if(amount <= 0) AS non_positive_amounts"),
+        F.expr("count(amount) AS amount_count"),
+        F.expr(f"min({rounded}) AS amount_min"),
+        F.expr(f"max({rounded}) AS amount_max"),
+        F.expr(f"{money.sum_blocks(rounded)} AS amount_blocks"),
+        F.expr(f"{money.sum_rest(rounded)} AS amount_rest"),
+        F.expr(f"stddev_samp({rounded}) AS amount_stddev"),
     )
 
 
 def distribution(transactions: DataFrame) -> DataFrame:
     """Row counts per transaction type and status."""
-    return transactions.groupBy("transaction_type", "status").agg(F.count("*").alias("row_count"))
+    return transactions.groupBy("transaction_type", "status").agg(F.expr("count(*) AS row_count"))
 
 
 def duplicates(frame: DataFrame, *keys: str) -> DataFrame:
     """One row with the rows beyond the first of each key; null keys count as one value."""
-    repeats = frame.groupBy(*keys).agg((F.count("*") - 1).alias("extra"))
-    return repeats.agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("duplicate_count"))
+    repeats = frame.groupBy(*keys).agg(F.expr("count(*) - 1 AS extra"))
+    return repeats.agg(F.expr("coalesce(sum(extra), 0L) AS duplicate_count"))
 
 
 # Single checks -------------------------------------------------------------------
@@ -73,19 +73,19 @@ def duplicates(frame: DataFrame, *keys: str) -> DataFrame:
 def null_check(profiled: DataFrame, critical: Sequence[str] = CRITICAL_COLUMNS) -> DataFrame:
     """Missing values per critical column."""
     names = [f"null_{name}" for name in critical]
-    return profiled.select(*names, _status(_sum_of(names)))
+    return profiled.selectExpr(*names, f"{_status(' + '.join(names))} AS status")
 
 
 def amount_check(profiled: DataFrame) -> DataFrame:
     """Amounts that are zero or negative; a null is not counted."""
-    bad = F.col("non_positive_amounts")
-    return profiled.select(bad.alias("invalid_count"), _status(bad))
+    bad = "non_positive_amounts"
+    return profiled.selectExpr(f"{bad} AS invalid_count", f"{_status(bad)} AS status")
 
 
 def duplicate_check(duplicated: DataFrame) -> DataFrame:
     """Repeated ids."""
-    bad = F.col("duplicate_count")
-    return duplicated.select(bad, _status(bad))
+    bad = "duplicate_count"
+    return duplicated.selectExpr(bad, f"{_status(bad)} AS status")
 
 
 def domain_check(
@@ -98,17 +98,17 @@ def domain_check(
 
 def value_counts(distributed: DataFrame, column: str) -> DataFrame:
     """Rows per value of ``column``."""
-    return distributed.groupBy(column).agg(F.sum("row_count").alias("row_count"))
+    return distributed.groupBy(column).agg(F.expr("sum(row_count) AS row_count"))
 
 
 def amount_stats(profiled: DataFrame) -> DataFrame:
     """Count, minimum, maximum, mean and sample standard deviation of the rounded amount."""
-    total = money.total_cents(F.col("amount_blocks"), F.col("amount_rest"))
-    return profiled.select(
+    total = money.total_cents("amount_blocks", "amount_rest")
+    return profiled.selectExpr(
         "amount_count",
         "amount_min",
         "amount_max",
-        money.mean_dollars(total, F.col("amount_count"), 6).alias("amount_mean"),
+        f"{money.mean_dollars(total, 'amount_count', 6)} AS amount_mean",
         "amount_stddev",
     )
 
@@ -128,35 +128,26 @@ def quality_report(
     Invalid values are counted here; :func:`domain_values` lists them, one row each, since
     there may be any number of them.
     """
-    columns = profiled.select(
-        _checks(
-            _check("record_counts", F.lit(0), _figures(
-                total_raw_records=F.col("row_count"),
-                processed_record_count=F.col("kept_rows"),
-                removed=F.col("removed_rows"),
-                removed_null_status=F.col("null_status_rows"),
-            )),
-            _check(
-                "null_critical_columns",
-                _sum_of([f"null_{name}" for name in critical]),
-                _figures(**{name: F.col(f"null_{name}") for name in critical}),
-            ),
-            _check("amount_positive", F.col("non_positive_amounts"), _figures()),
-        )
-    )
-    ids = duplicated.select(
-        _checks(_check("unique_transaction_ids", F.col("duplicate_count"), _figures()))
+    nulls = {name: f"null_{name}" for name in critical}
+    counts = {
+        "total_raw_records": "row_count",
+        "processed_record_count": "kept_rows",
+        "removed": "removed_rows",
+        "removed_null_status": "null_status_rows",
+    }
+    columns = _checks(
+        profiled,
+        _check("record_counts", "0", counts),
+        _check("null_critical_columns", " + ".join(nulls.values()), nulls),
+        _check("amount_positive", "non_positive_amounts"),
     )
-    values = domain_values(distributed, domains).groupBy().agg(
-        *[
-            F.count_if((F.col("column") == name) & ~F.col("is_valid")).alias(name)
-            for name in domains
-        ]
-    ).select(
-        _checks(*[
-            _check(f"valid_{name}", F.col(name), _figures(valid=F.lit(", ".join(allowed))))
-            for name, allowed in domains.items()
-        ])
+    ids = _checks(duplicated, _check("unique_transaction_ids", "duplicate_count"))
+    invalid = {
+        name: F.expr(f"count_if(column = '{name}' AND NOT is_valid) AS {name}") for name in domains
+    }
+    values = _checks(
+        domain_values(distributed, domains).agg(*invalid.values()),
+        *[_check(f"valid_{name}", name, {"distinct_invalid": name}) for name in domains],
     )
     return with_overall(columns.unionByName(ids).unionByName(values))
 
@@ -165,7 +156,7 @@ def domain_values(
     distributed: DataFrame, domains: Mapping[str, Sequence[str]] = DOMAINS
 ) -> DataFrame:
     """Distributions of all domain columns in long form: column, value, row count, validity."""
-    pairs = F.array(*[
+    pairs = [
         F.struct(
             F.lit(name).alias("column"),
             F.col(name).alias("value"),
@@ -173,9 +164,9 @@ def domain_values(
             _allowed(name, allowed).alias("is_valid"),
         )
         for name, allowed in domains.items()
-    ])
+    ]
     return (
-        distributed.select(F.inline(pairs))
+        distributed.select(F.inline(F.array(*pairs)))
         .groupBy("column", "value", "is_valid")
         .agg(F.sum("row_count").alias("row_count"))
         .select("column", "value", "row_count", "is_valid")
@@ -184,22 +175,17 @@ def domain_values(
 
 def constraint_report(transactions: DataFrame, customers: DataFrame) -> DataFrame:
     """Declared column constraints: primary keys, unique email, text lengths, amount range."""
-    key_violations = [
+    emails = duplicates(customers.filter("email IS NOT NULL"), "email")
+    checks, *rest = [
         _key_violations(transactions, "transaction_id", "transactions_primary_key"),
         _key_violations(customers, "customer_id", "customers_primary_key"),
-        _checks_of(
-            duplicates(customers.filter(F.col("email").isNotNull()), "email"),
-            _check("customers_unique_email", F.col("duplicate_count"), _figures()),
-        ),
-    ]
-    limits = [
+        _checks(emails, _check("customers_unique_email", "duplicate_count")),
         _limit_violations(transactions, TRANSACTION_LENGTHS, "transactions", "amount"),
         _limit_violations(customers, CUSTOMER_LENGTHS, "customers"),
     ]
-    first, *rest = [*key_violations, *limits]
-    for checks in rest:
-        first = first.unionByName(checks)
-    return with_overall(first)
+    for more in rest:
+        checks = checks.unionByName(more)
+    return with_overall(checks)
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
@@ -208,18 +194,16 @@ def orphans(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> Da
     Rows are counted per key before the join, so a key that holds a third of the child is one
     row there, and only keys are shuffled.
     """
-    counted = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("row_count"))
+    counted = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.expr("count(*) AS row_count"))
     return counted.join(parent.select(key), key, "left_anti")
 
 
 def reference_report(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
     """Foreign-key check: rows whose parent is missing, and how many keys they carry."""
     lost = orphans(child, parent, key).agg(
-        F.coalesce(F.sum("row_count"), F.lit(0)).alias("bad"), F.count("*").alias("keys")
-    )
-    return _checks_of(
-        lost, _check(f"{key}_reference", F.col("bad"), _figures(missing_keys=F.col("keys")))
+        F.expr("coalesce(sum(row_count), 0L) AS bad"), F.expr("count(*) AS keys")
     )
+    return _checks(lost, _check(f"{key}_reference", "bad", {"missing_keys": "keys"}))
 
 
 def with_overall(checks: DataFrame) -> DataFrame:
@@ -227,93 +211,60 @@ def with_overall(checks: DataFrame) -> DataFrame:
 
     The check rows go through one array: there is one element per check, whatever the data.
     """
-    row = F.struct(*checks.columns)
-    failed = F.count_if(F.col("status") != "PASS")
-    return checks.agg(F.collect_list(row).alias("rows"), failed.alias("failed")).select(
-        F.inline(F.concat("rows", F.array(_check("overall", F.col("failed"), _figures()))))
-    )
+    return checks.agg(
+        F.expr("collect_list(struct(*)) AS rows"), F.expr("count_if(status != 'PASS') AS failed")
+    ).selectExpr(f"inline(concat(rows, array({_check('overall', 'failed')})))")
 
 
 # Helpers -------------------------------------------------------------------------
 
 
-def _missing(frame: DataFrame, name: str) -> Column:
+def _missing(frame: DataFrame, name: str) -> str:
     """Null, or empty text. Comparing a number or time with '' is an error in ANSI mode."""
-    column = F.col(name)
     if isinstance(frame.schema[name].dataType, StringType):
-        return column.isNull() | (column == "")
-    return column.isNull()
+        return f"{name} IS NULL OR {name} = ''"
+    return f"{name} IS NULL"
 
 
 def _allowed(name: str, valid: Sequence[str]) -> Column:
     return F.coalesce(F.col(name).isin(*valid), F.lit(False))
 
 
-def _sum_of(names: Sequence[str]) -> Column:
-    total = F.lit(0).cast("bigint")
-    for name in names:
-        total = total + F.col(name)
-    return total
-
+def _status(bad: str) -> str:
+    return f"CASE WHEN {bad} = 0 THEN 'PASS' ELSE 'FAIL' END"
 
-def _status(bad: Column) -> Column:
-    return F.when(bad == 0, "PASS").otherwise("FAIL").alias("status")
 
-
-def _figures(**values: Column) -> Column:
-    if not values:
-        return F.create_map().cast("map<string,string>")
-    pairs = [part for name, value in values.items() for part in (F.lit(name), value.cast("string"))]
-    return F.create_map(*pairs)
-
-
-def _check(name: str, bad: Column, details: Column) -> Column:
-    return F.struct(
-        F.lit(name).alias("check"),
-        _status(bad),
-        bad.cast("bigint").alias("bad_count"),
-        details.alias("details"),
+def _check(name: str, bad: str, details: Mapping[str, str] | None = None) -> str:
+    """SQL for one check: it passes if ``bad`` is zero; ``details`` are named figures."""
+    pairs = ", ".join(f"'{key}', CAST({value} AS STRING)" for key, value in (details or {}).items())
+    return (
+        f"named_struct('check', '{name}', 'status', {_status(bad)}, "
+        f"'bad_count', CAST({bad} AS BIGINT), 'details', CAST(map({pairs}) AS MAP<STRING, STRING>))"
     )
 
 
-def _checks(*checks: Column) -> Column:
-    return F.inline(F.array(*checks))
-
-
-def _checks_of(one_row: DataFrame, *checks: Column) -> DataFrame:
-    return one_row.select(_checks(*checks))
+def _checks(one_row: DataFrame, *checks: str) -> DataFrame:
+    return one_row.selectExpr(f"inline(array({', '.join(checks)}))")
 
 
 def _key_violations(frame: DataFrame, key: str, name: str) -> DataFrame:
     """Rows that break a primary key: repeats of a value, and every null."""
-    per_key = frame.groupBy(key).agg(F.count("*").alias("n"))
-    repeats = F.coalesce(F.sum(F.when(F.col(key).isNotNull(), F.col("n") - 1)), F.lit(0))
-    nulls = F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0))
-    counted = per_key.agg(repeats.alias("repeats"), nulls.alias("nulls"))
-    return _checks_of(
-        counted,
-        _check(
-            name,
-            F.col("repeats") + F.col("nulls"),
-            _figures(repeats=F.col("repeats"), nulls=F.col("nulls")),
-        ),
+    counted = frame.groupBy(key).agg(F.expr("count(*) AS n")).agg(
+        F.expr(f"coalesce(sum(n - 1) FILTER (WHERE {key} IS NOT NULL), 0L) AS repeats"),
+        F.expr(f"coalesce(sum(n) FILTER (WHERE {key} IS NULL), 0L) AS nulls"),
     )
+    return _checks(counted, _check(name, "repeats + nulls", {"repeats": "repeats", "nulls": "nulls"}))
 
 
 def _limit_violations(
     frame: DataFrame, lengths: Mapping[str, int], table: str, amount: str | None = None
 ) -> DataFrame:
     """Texts beyond their declared length and, if named, amounts beyond DECIMAL(10,2): one pass."""
-    bad = {name: F.count_if(F.length(name) > limit) for name, limit in lengths.items()}
+    bad = [F.expr(f"count_if(length({name}) > {limit}) AS {name}") for name, limit in lengths.items()]
     checks = [
-        _check(
-            f"{table}_text_lengths",
-            _sum_of(list(lengths)),
-            _figures(**{name: F.col(name) for name in lengths}),
-        )
+        _check(f"{table}_text_lengths", " + ".join(lengths), {name: name for name in lengths})
     ]
     if amount is not None:
-        bad[amount] = F.count_if(F.abs(F.round(amount, 2)) >= AMOUNT_LIMIT)
-        checks.append(_check(f"{table}_{amount}_range", F.col(amount), _figures()))
-    counted = frame.agg(*[column.alias(name) for name, column in bad.items()])
-    return _checks_of(counted, *checks)
+        bad.append(F.expr(f"count_if(abs(round({amount}, 2)) >= {AMOUNT_LIMIT}) AS {amount}"))
+        checks.append(_check(f"{table}_{amount}_range", amount))
+    return _checks(frame.agg(*bad), *checks)

@@ -30,29 +30,20 @@ CUSTOMER_KEYS = ("customer_id", "transaction_type")
 def rollup(frame: DataFrame, *keys: str, **extra: Column) -> DataFrame:
     """Measures per ``keys`` of a fact table, or of a finer rollup, with ``extra`` aggregates."""
     if set(MEASURES) <= set(frame.columns):
-        measures = [F.sum(name).alias(name) for name in MEASURES]
+        measures = [F.expr(f"sum({name}) AS {name}") for name in MEASURES]
     else:
-        amount = F.col("amount")
         measures = [
-            F.count("*").alias("tx_count"),
-            F.count(amount).alias("amount_count"),
-            money.sum_blocks(amount).alias("amount_blocks"),
-            money.sum_rest(amount).alias("amount_rest"),
-            F.count_if("is_anomaly").alias("anomaly_count"),
+            F.expr("count(*) AS tx_count"),
+            F.expr("count(amount) AS amount_count"),
+            F.expr(f"{money.sum_blocks('amount')} AS amount_blocks"),
+            F.expr(f"{money.sum_rest('amount')} AS amount_rest"),
+            F.expr("count_if(is_anomaly) AS anomaly_count"),
         ]
     return frame.groupBy(*keys).agg(*measures, *[c.alias(name) for name, c in extra.items()])
 
 
-def total() -> Column:
-    """Exact total of a rollup row, in cents."""
-    return money.total_cents(F.col("amount_blocks"), F.col("amount_rest"))
-
-
-def revenue() -> Column:
-    """Total amount of a rollup row."""
-    return money.dollars(total())
-
-
-def mean_amount() -> Column:
-    """Mean amount of a rollup row; null amounts do not count."""
-    return money.mean_dollars(total(), F.col("amount_count"))
+# Expressions over the measures of a rollup row; a null amount counts in no total or mean
+TOTAL_CENTS = money.total_cents("amount_blocks", "amount_rest")
+REVENUE = money.dollars(TOTAL_CENTS)
+MEAN_AMOUNT = money.mean_dollars(TOTAL_CENTS, "amount_count")
+ANOMALY_PERCENT = money.percent("anomaly_count", "tx_count", 2)

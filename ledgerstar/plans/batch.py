@@ -3,16 +3,20 @@
 Every stage ends in a written table, and the next one reads it back. A lost executor thus
 costs the tasks it ran, and a failed run leaves nothing cached. The big table is read once for
 each of: staging, three quality passes, cleansing, the fact, and two rollups. All reports come
-from the rollups.
+from the rollups. Writes that do not depend on each other are submitted together, so that the
+last tasks of one leave no executor idle.
 """
 
 from __future__ import annotations
 
 import datetime
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ledgerstar.operators import dimensions, facts, quality
 from ledgerstar.operators.cleanse import cleanse
@@ -69,14 +73,25 @@ def run(
     return outputs
 
 
+def write_all(*writes: Callable[[], None]) -> None:
+    """Run independent writes as concurrent Spark jobs; the first error is raised."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        for done in [pool.submit(write) for write in writes]:
+            done.result()
+
+
 def stage(spark: SparkSession, base: str, customer_id: str, timestamp: str) -> None:
     """Parse the landed text once, into columns; rows with malformed cells are also set aside."""
-    for name, schema in raw_schemas(customer_id, timestamp).items():
+
+    def stage_table(name: str, schema: StructType) -> None:
         landed = files.read_csv(spark, f"{base}/raw/raw_{name}.csv", schema, keep_corrupt=True)
         staged = f"{base}/staged/{name}"
         write_parquet(landed, staged)
         write_json(files.corrupt_rows(spark.read.parquet(staged)), f"{base}/rejected/{name}")
 
+    schemas = raw_schemas(customer_id, timestamp)
+    write_all(*[partial(stage_table, name, schema) for name, schema in schemas.items()])
+
 
 def check_quality(spark: SparkSession, base: str, fail_on: tuple[str, ...] = ()) -> None:
     """Run the checks on the staged transactions and write their findings."""
@@ -86,15 +101,22 @@ def check_quality(spark: SparkSession, base: str, fail_on: tuple[str, ...] = ())
         "distribution": quality.distribution(staged),
         "duplicates": quality.duplicates(staged, "transaction_id"),
     }
-    for name, frame in passes.items():
-        write_parquet(frame, f"{base}/quality/passes/{name}")
+    folder = f"{base}/quality"
+    write_all(
+        *[partial(write_parquet, frame, f"{folder}/passes/{name}") for name, frame in passes.items()]
+    )
     profiled, distributed, duplicated = (
-        spark.read.parquet(f"{base}/quality/passes/{name}") for name in passes
+        spark.read.parquet(f"{folder}/passes/{name}") for name in passes
     )
     checks = quality.quality_report(profiled, distributed, duplicated)
-    write_json(checks, f"{base}/quality/report")
-    write_json(quality.domain_values(distributed), f"{base}/quality/domain_values")
-    write_json(quality.amount_stats(profiled), f"{base}/quality/amount_stats")
+    findings = {
+        "report": checks,
+        "domain_values": quality.domain_values(distributed),
+        "amount_stats": quality.amount_stats(profiled),
+    }
+    write_all(
+        *[partial(write_json, frame, f"{folder}/{name}") for name, frame in findings.items()]
+    )
     if fail_on:
         failed = checks.filter(F.col("check").isin(*fail_on) & (F.col("status") != "PASS"))
         names = [row["check"] for row in failed.select("check").collect()]  # one row per check
@@ -112,9 +134,13 @@ def build_star(
     """Write the fact, its two rollups and the three dimensions."""
     warehouse = f"{base}/warehouse"
     customers = spark.read.parquet(f"{base}/staged/customers").drop(files.CORRUPT)
-    write_parquet(dimensions.dim_customers(customers, as_of), f"{warehouse}/dim_customers")
     types = f"{warehouse}/dim_transaction_type"
-    write_parquet(dimensions.dim_transaction_type(spark), types)
+    write_all(
+        partial(
+            write_parquet, dimensions.dim_customers(customers, as_of), f"{warehouse}/dim_customers"
+        ),
+        partial(write_parquet, dimensions.dim_transaction_type(spark), types),
+    )
 
     fact = facts.fact_transactions(
         processed, files.read_parquet(spark, types, tables["dim_transaction_type"])
@@ -123,9 +149,12 @@ def build_star(
     write_parquet(fact, fact_path, FACT_PARTITIONS)
 
     written = files.read_parquet(spark, fact_path, tables["fact_transactions"])
-    write_parquet(rollup(written, *ACTIVITY_KEYS), f"{warehouse}/rollups/activity")
-    write_parquet(rollup(written, *CUSTOMER_KEYS), f"{warehouse}/rollups/spending")
-    activity = spark.read.parquet(f"{warehouse}/rollups/activity")
+    rollups = f"{warehouse}/rollups"
+    write_all(
+        partial(write_parquet, rollup(written, *ACTIVITY_KEYS), f"{rollups}/activity"),
+        partial(write_parquet, rollup(written, *CUSTOMER_KEYS), f"{rollups}/spending"),
+    )
+    activity = spark.read.parquet(f"{rollups}/activity")
     write_parquet(dimensions.dim_date(activity), f"{warehouse}/dim_date")
 
 
@@ -151,8 +180,7 @@ def report(
         "dashboard/heatmap": charts.heatmap(activity),
         "dashboard/kpi_summary": charts.kpi_summary(activity, customers),
     }
-    for name, frame in outputs.items():
-        write_json(frame, f"{base}/{name}")
+    write_all(*[partial(write_json, frame, f"{base}/{name}") for name, frame in outputs.items()])
     return outputs
 
 

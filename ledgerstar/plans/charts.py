@@ -8,25 +8,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerstar.functions import calendar, money
-from ledgerstar.operators.rollups import MEASURES, mean_amount, revenue, rollup, total
+from ledgerstar.operators.rollups import (
+    ANOMALY_PERCENT,
+    MEAN_AMOUNT,
+    MEASURES,
+    REVENUE,
+    TOTAL_CENTS,
+    rollup,
+)
 from ledgerstar.plans.reports import by_customer
 
 DAYS, HOURS = 7, 24
+PERIOD = calendar.period_label("tx_year", "tx_month")
 
 
 def monthly_volume(activity: DataFrame) -> DataFrame:
     """Transactions and revenue per month, labelled ``YYYY-MM``."""
     return (
         rollup(activity, "tx_year", "tx_month")
-        .select(
-            "tx_year",
-            "tx_month",
-            "tx_count",
-            revenue().alias("total_revenue"),
-            calendar.period_label(F.col("tx_year"), F.col("tx_month")).alias("period"),
+        .selectExpr(
+            "tx_year", "tx_month", "tx_count", f"{REVENUE} AS total_revenue", f"{PERIOD} AS period"
         )
         .orderBy("tx_year", "tx_month")
     )
@@ -38,17 +42,16 @@ def type_distribution(activity: DataFrame) -> DataFrame:
     The whole is a scalar subquery over the same rollup, not a window without partitions: the
     types are not validated, so their number has no bound.
     """
-    per_type = rollup(activity, "transaction_type").select(
-        "transaction_type", "tx_count", total().alias("cents")
+    per_type = rollup(activity, "transaction_type").selectExpr(
+        "transaction_type", "tx_count", f"{TOTAL_CENTS} AS cents"
     )
-    rows = per_type.agg(F.sum("tx_count").alias("rows")).scalar()
-    whole = per_type.agg(F.sum("cents").alias("cents")).scalar()
-    return per_type.select(
+    whole = per_type.agg(F.expr("struct(sum(tx_count) AS rows, sum(cents) AS cents)"))
+    return per_type.withColumn("whole", whole.scalar()).selectExpr(
         "transaction_type",
-        F.col("tx_count").alias("count"),
-        money.dollars(F.col("cents")).alias("total"),
-        money.percent(F.col("tx_count"), rows, 1).alias("count_share"),
-        money.percent(F.col("cents"), whole, 1).alias("revenue_share"),
+        "tx_count AS count",
+        f"{money.dollars('cents')} AS total",
+        f"{money.percent('tx_count', 'whole.rows', 1)} AS count_share",
+        f"{money.percent('cents', 'whole.cents', 1)} AS revenue_share",
     )
 
 
@@ -56,14 +59,14 @@ def top_customers(spending: DataFrame, customers: DataFrame, k: int = 10) -> Dat
     """The ``k`` customers with the highest spend, with the columns a bar chart labels."""
     return (
         by_customer(spending, customers, "first_name", "last_name", "account_type")
-        .select(
+        .selectExpr(
             "customer_id",
             "first_name",
             "last_name",
             "account_type",
-            revenue().alias("total_spend"),
+            f"{REVENUE} AS total_spend",
             "tx_count",
-            F.concat("first_name", F.lit(" "), "last_name").alias("name"),
+            "concat(first_name, ' ', last_name) AS name",
         )
         .orderBy(F.desc("total_spend"), "customer_id")
         .limit(k)
@@ -75,8 +78,8 @@ def account_revenue(spending: DataFrame, customers: DataFrame) -> DataFrame:
     per_customer = rollup(spending, "customer_id", "transaction_type").join(
         customers.select("customer_id", "account_type"), "customer_id"
     )
-    return rollup(per_customer, "account_type", "transaction_type").select(
-        "account_type", "transaction_type", revenue().alias("revenue")
+    return rollup(per_customer, "account_type", "transaction_type").selectExpr(
+        "account_type", "transaction_type", f"{REVENUE} AS revenue"
     )
 
 
@@ -102,13 +105,13 @@ def anomaly_rate(activity: DataFrame) -> DataFrame:
     """Anomalies per month and their share in percent."""
     return (
         rollup(activity, "tx_year", "tx_month")
-        .select(
+        .selectExpr(
             "tx_year",
             "tx_month",
-            F.col("tx_count").alias("total"),
-            F.col("anomaly_count").alias("anomalies"),
-            calendar.period_label(F.col("tx_year"), F.col("tx_month")).alias("period"),
-            money.percent(F.col("anomaly_count"), F.col("tx_count"), 2).alias("anomaly_rate"),
+            "tx_count AS total",
+            "anomaly_count AS anomalies",
+            f"{PERIOD} AS period",
+            f"{ANOMALY_PERCENT} AS anomaly_rate",
         )
         .orderBy("tx_year", "tx_month")
     )
@@ -120,45 +123,42 @@ def heatmap(activity: DataFrame) -> DataFrame:
     ``above_mean`` marks the cells that a plot annotates. The window has no partition, but
     never more than 168 rows.
     """
+    cells = DAYS * HOURS
     counts = (
         rollup(activity, "tx_day_of_week", "tx_hour")
         .dropna(subset=["tx_day_of_week", "tx_hour"])
         .select("tx_day_of_week", "tx_hour", "tx_count")
     )
-    cell = F.col("id")
-    zeros = activity.sparkSession.range(0, DAYS * HOURS, 1, 1).select(
-        (F.call_function("div", cell, F.lit(HOURS)) + 1).cast("int").alias("tx_day_of_week"),
-        (cell % HOURS).cast("int").alias("tx_hour"),
-        F.lit(0).cast("bigint").alias("tx_count"),
+    zeros = activity.sparkSession.range(0, cells, 1, 1).selectExpr(
+        f"int(id div {HOURS}) + 1 AS tx_day_of_week", f"int(id % {HOURS}) AS tx_hour", "0L AS tx_count"
     )
     grid = (
         counts.unionByName(zeros)
         .groupBy("tx_day_of_week", "tx_hour")
         .agg(F.sum("tx_count").alias("tx_count"))
     )
-    everything = F.sum("tx_count").over(Window.partitionBy())
-    return grid.select(
+    return grid.selectExpr(
         "tx_day_of_week",
-        calendar.day_label(F.col("tx_day_of_week")).alias("day_label"),
+        f"{calendar.day_label('tx_day_of_week')} AS day_label",
         "tx_hour",
-        calendar.hour_label(F.col("tx_hour")).alias("hour_label"),
+        f"{calendar.hour_label('tx_hour')} AS hour_label",
         "tx_count",
-        (F.col("tx_count") * (DAYS * HOURS) > everything).alias("above_mean"),
+        f"tx_count * {cells} > sum(tx_count) OVER () AS above_mean",
     ).orderBy("tx_day_of_week", "tx_hour")
 
 
 def kpi_summary(activity: DataFrame, customers: DataFrame) -> DataFrame:
     """Six headline figures in one row; amounts and rate are null without transactions."""
     facts = rollup(activity).withColumn("customers", F.lit(0).cast("bigint"))
-    people = customers.agg(F.count("*").alias("customers")).select(
-        *[F.lit(None).cast("bigint").alias(name) for name in MEASURES], "customers"
+    people = customers.agg(F.count("*").alias("customers")).selectExpr(
+        *[f"CAST(NULL AS BIGINT) AS {name}" for name in MEASURES], "customers"
     )
     joint = facts.unionByName(people)
-    return joint.agg(*[F.sum(name).alias(name) for name in (*MEASURES, "customers")]).select(
-        F.coalesce("tx_count", F.lit(0)).alias("total_transactions"),
-        revenue().alias("total_revenue"),
-        mean_amount().alias("avg_transaction"),
-        F.col("customers").alias("total_customers"),
-        F.coalesce("anomaly_count", F.lit(0)).alias("anomalies"),
-        money.percent(F.col("anomaly_count"), F.col("tx_count"), 2).alias("anomaly_rate"),
+    return joint.agg(*[F.expr(f"sum({name}) AS {name}") for name in joint.columns]).selectExpr(
+        "coalesce(tx_count, 0L) AS total_transactions",
+        f"{REVENUE} AS total_revenue",
+        f"{MEAN_AMOUNT} AS avg_transaction",
+        "customers AS total_customers",
+        "coalesce(anomaly_count, 0L) AS anomalies",
+        f"{ANOMALY_PERCENT} AS anomaly_rate",
     )

@@ -7,9 +7,9 @@ or day, so neither hot customers nor the row count of the fact reach a join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ledgerstar.operators.rollups import mean_amount, revenue, rollup
+from ledgerstar.operators.rollups import MEAN_AMOUNT, REVENUE, rollup
 from ledgerstar.schemas import TENURE_SEGMENTS
 
 
@@ -25,25 +25,23 @@ def by_customer(spending: DataFrame, customers: DataFrame, *attributes: str) ->
     return rollup(joined, "customer_id", *attributes)
 
 
-def tenure_segment(days: Column) -> Column:
-    """Label of the tenure bucket; an unknown tenure falls into the open bucket."""
+def tenure_segment(days: str) -> str:
+    """SQL for the label of a tenure bucket; an unknown tenure falls into the open bucket."""
     *bounded, (_, last) = TENURE_SEGMENTS
-    label = F.lit(last)
-    for bound, text in reversed(bounded):
-        label = F.when(days < bound, text).otherwise(label)
-    return label
+    branches = " ".join(f"WHEN {days} < {bound} THEN '{label}'" for bound, label in bounded)
+    return f"CASE {branches} ELSE '{last}' END"
 
 
 def monthly_revenue(activity: DataFrame) -> DataFrame:
     """Transactions, revenue and mean amount per month."""
     return (
         rollup(activity, "tx_year", "tx_month")
-        .select(
+        .selectExpr(
             "tx_year",
             "tx_month",
-            F.col("tx_count").alias("total_transactions"),
-            revenue().alias("total_revenue"),
-            mean_amount().alias("avg_transaction_amount"),
+            "tx_count AS total_transactions",
+            f"{REVENUE} AS total_revenue",
+            f"{MEAN_AMOUNT} AS avg_transaction_amount",
         )
         .orderBy("tx_year", "tx_month")
     )
@@ -54,12 +52,12 @@ def revenue_by_account(spending: DataFrame, customers: DataFrame) -> DataFrame:
     per_customer = by_customer(spending, customers, "account_type")
     return (
         rollup(per_customer, "account_type", people=F.count("*"))
-        .select(
+        .selectExpr(
             "account_type",
-            F.col("tx_count").alias("transaction_count"),
-            revenue().alias("total_revenue"),
-            mean_amount().alias("avg_amount"),
-            F.col("people").alias("unique_customers"),
+            "tx_count AS transaction_count",
+            f"{REVENUE} AS total_revenue",
+            f"{MEAN_AMOUNT} AS avg_amount",
+            "people AS unique_customers",
         )
         .orderBy(F.desc("total_revenue"))
     )
@@ -69,12 +67,12 @@ def top_customers(spending: DataFrame, customers: DataFrame, k: int = 10) -> Dat
     """The ``k`` customers with the highest spend; equal spend is ordered by customer."""
     return (
         by_customer(spending, customers, "first_name", "last_name", "account_type")
-        .select(
+        .selectExpr(
             "customer_id",
-            F.concat("first_name", F.lit(" "), "last_name").alias("customer_name"),
+            "concat(first_name, ' ', last_name) AS customer_name",
             "account_type",
-            F.col("tx_count").alias("transaction_count"),
-            revenue().alias("total_spend"),
+            "tx_count AS transaction_count",
+            f"{REVENUE} AS total_spend",
         )
         .orderBy(F.desc("total_spend"), "customer_id")
         .limit(k)
@@ -86,12 +84,12 @@ def weekend_weekday(activity: DataFrame, dates: DataFrame) -> DataFrame:
     per_day = rollup(activity, "date_key").join(dates.select("date_key", "is_weekend"), "date_key")
     return (
         rollup(per_day, "is_weekend")
-        .select(
+        .selectExpr(
             "is_weekend",
-            F.when(F.col("is_weekend"), "Weekend").otherwise("Weekday").alias("period"),
-            F.col("tx_count").alias("transaction_count"),
-            revenue().alias("total_revenue"),
-            mean_amount().alias("avg_amount"),
+            "CASE WHEN is_weekend THEN 'Weekend' ELSE 'Weekday' END AS period",
+            "tx_count AS transaction_count",
+            f"{REVENUE} AS total_revenue",
+            f"{MEAN_AMOUNT} AS avg_amount",
         )
         .orderBy("is_weekend")
     )
@@ -101,12 +99,12 @@ def anomaly_summary(activity: DataFrame) -> DataFrame:
     """Count and amounts per transaction type and anomaly flag."""
     return (
         rollup(activity, "transaction_type", "is_anomaly")
-        .select(
+        .selectExpr(
             "transaction_type",
             "is_anomaly",
-            F.col("tx_count").alias("count"),
-            revenue().alias("total_amount"),
-            mean_amount().alias("avg_amount"),
+            "tx_count AS count",
+            f"{REVENUE} AS total_amount",
+            f"{MEAN_AMOUNT} AS avg_amount",
         )
         .orderBy("transaction_type", "is_anomaly")
     )
@@ -114,18 +112,17 @@ def anomaly_summary(activity: DataFrame) -> DataFrame:
 
 def tenure_segments(spending: DataFrame, customers: DataFrame) -> DataFrame:
     """Paying customers, transactions and revenue per tenure bucket, largest revenue first."""
-    tenured = customers.select(
-        "customer_id", tenure_segment(F.col("tenure_days")).alias("tenure_segment")
+    tenured = customers.selectExpr(
+        "customer_id", f"{tenure_segment('tenure_days')} AS tenure_segment"
     )
     per_customer = by_customer(spending, tenured, "tenure_segment")
     return (
         rollup(per_customer, "tenure_segment", people=F.count("*"))
-        .select(
+        .selectExpr(
             "tenure_segment",
-            F.col("people").alias("customer_count"),
-            F.col("tx_count").alias("transaction_count"),
-            revenue().alias("total_revenue"),
+            "people AS customer_count",
+            "tx_count AS transaction_count",
+            f"{REVENUE} AS total_revenue",
         )
         .orderBy(F.desc("total_revenue"))
     )
-
