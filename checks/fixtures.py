@@ -70,9 +70,7 @@ def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.fact_transactions(
-        processed(spark, sf_dir), dimensions.dim_transaction_type(spark)
-    )
+    return facts.fact_transactions(processed(spark, sf_dir))
 
 
 def dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerstar.functions import calendar
+from ledgerstar.operators.dimensions import dim_transaction_type
 
 
-def fact_transactions(processed: DataFrame, types: DataFrame) -> DataFrame:
+def fact_transactions(processed: DataFrame, types: DataFrame | None = None) -> DataFrame:
     """Cleansed transactions with surrogate keys; an unknown type gets a null ``type_key``.
 
-    The type dimension of this package is a literal of four rows, which Spark broadcasts by
-    its known size: the fact side is never shuffled, so a hot type cannot skew the join. The
-    choice is left to Spark because a caller may bring a dimension of any size.
+    The standard type dimension is a literal of four rows and always broadcast: a shuffle by
+    type would send the whole fact to as many tasks as there are types. Another dimension may
+    be passed; its join strategy is left to Spark, as its size is not known here.
     """
+    if types is None:
+        types = F.broadcast(dim_transaction_type(processed.sparkSession))
     keys = types.select("type_key", "type_name")
     joined = processed.join(keys, F.col("transaction_type") == F.col("type_name"), "left")
     return joined.selectExpr(

@@ -134,19 +134,16 @@ def build_star(
     """Write the fact, its two rollups and the three dimensions."""
     warehouse = f"{base}/warehouse"
     customers = spark.read.parquet(f"{base}/staged/customers").drop(files.CORRUPT)
-    types = f"{warehouse}/dim_transaction_type"
+    small = {
+        "dim_customers": dimensions.dim_customers(customers, as_of),
+        "dim_transaction_type": dimensions.dim_transaction_type(spark),
+    }
     write_all(
-        partial(
-            write_parquet, dimensions.dim_customers(customers, as_of), f"{warehouse}/dim_customers"
-        ),
-        partial(write_parquet, dimensions.dim_transaction_type(spark), types),
+        *[partial(write_parquet, frame, f"{warehouse}/{name}") for name, frame in small.items()]
     )
 
-    fact = facts.fact_transactions(
-        processed, files.read_parquet(spark, types, tables["dim_transaction_type"])
-    )
     fact_path = f"{warehouse}/fact_transactions"
-    write_parquet(fact, fact_path, FACT_PARTITIONS)
+    write_parquet(facts.fact_transactions(processed), fact_path, FACT_PARTITIONS)
 
     written = files.read_parquet(spark, fact_path, tables["fact_transactions"])
     rollups = f"{warehouse}/rollups"
