@@ -22,7 +22,7 @@ def read_csv(
     multi_line: bool = False,
     keep_corrupt: bool = False,
 ) -> DataFrame:
-    """CSV with a header. A cell that does not fit its type becomes null.
+    """CSV with a header. A cell that is empty, or does not fit its type, becomes null.
 
     With ``keep_corrupt`` the source line of each such row is kept in ``_corrupt_record``;
     write that frame before looking for corrupt rows. ``multi_line`` allows line breaks inside
