@@ -17,6 +17,13 @@ AS_OF = datetime.date(2001, 8, 2)  # stands in for the wall clock
 CUSTOMER_ID = "long"
 TIMESTAMP = "timestamp_ntz"
 
+# Columns of the generated tables; declared, as reading a footer would cost a job per query
+ORDERS = (
+    "o_orderkey LONG, o_custkey LONG, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+)
+CUSTOMER = "c_custkey LONG, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+
 # Fixed values of the mapping; "Fee" lies outside the valid types on purpose
 TYPES = {
     "1-URGENT": "Deposit",
@@ -42,7 +49,7 @@ def _translate(column: str, values: dict[str, str]) -> str:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+    return spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet").selectExpr(
         "CAST(o_orderkey AS STRING) AS transaction_id",
         "o_custkey AS customer_id",
         "o_orderdate + make_dt_interval(0, int(o_orderkey % 24), int(o_orderkey % 60), 0)"
@@ -54,7 +61,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
+    return spark.read.schema(CUSTOMER).parquet(f"{sf_dir}/customer.parquet").selectExpr(
         "c_custkey AS customer_id",
         "split_part(c_name, '#', 1) AS first_name",
         "split_part(c_name, '#', 2) AS last_name",
