@@ -34,12 +34,14 @@ def dim_date(observed: DataFrame) -> DataFrame:
     """
     if "date_key" in observed.columns:
         dates = observed.select("date_key").distinct().selectExpr(
-            f"{calendar.date_of_key('date_key')} AS full_date"
+            "date_key", f"{calendar.date_of_key('date_key')} AS full_date"
         )
     else:
-        dates = observed.selectExpr("to_date(transaction_date) AS full_date").distinct()
+        dates = observed.selectExpr("to_date(transaction_date) AS full_date").distinct().selectExpr(
+            f"{calendar.date_key('full_date')} AS date_key", "full_date"
+        )
     return dates.selectExpr(
-        f"{calendar.date_key('full_date')} AS date_key",
+        "date_key",
         "full_date",
         "year(full_date) AS year",
         "quarter(full_date) AS quarter",

@@ -191,11 +191,11 @@ def constraint_report(transactions: DataFrame, customers: DataFrame) -> DataFram
 def orphans(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
     """Rows per foreign key without a parent row; null keys are exempt.
 
-    Rows are counted per key before the join, so a key that holds a third of the child is one
-    row there, and only keys are shuffled.
+    Both sides are reduced to one row per key before the join, so a key that holds a third of
+    either is one row there. Their shuffles serve the join as well.
     """
     counted = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.expr("count(*) AS row_count"))
-    return counted.join(parent.select(key), key, "left_anti")
+    return counted.join(parent.select(key).distinct(), key, "left_anti")
 
 
 def reference_report(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:

@@ -75,8 +75,8 @@ def top_customers(spending: DataFrame, customers: DataFrame, k: int = 10) -> Dat
 
 def account_revenue(spending: DataFrame, customers: DataFrame) -> DataFrame:
     """Revenue per account type and transaction type, one row per pair."""
-    per_customer = rollup(spending, "customer_id", "transaction_type").join(
-        customers.select("customer_id", "account_type"), "customer_id"
+    per_customer = customers.select("customer_id", "account_type").join(
+        rollup(spending, "customer_id", "transaction_type"), "customer_id"
     )
     return rollup(per_customer, "account_type", "transaction_type").selectExpr(
         "account_type", "transaction_type", f"{REVENUE} AS revenue"

@@ -17,10 +17,11 @@ def by_customer(spending: DataFrame, customers: DataFrame, *attributes: str) ->
     """Measures per customer and attributes; transactions without a known customer drop out.
 
     Grouping again after the join merges repeated dimension rows, should the key not be
-    unique. The rows are already partitioned by customer, so it adds no shuffle.
+    unique. The rows are already partitioned by customer, so it adds no shuffle. The dimension
+    is on the left, which a sort-merge join streams: it buffers the one rollup row per customer.
     """
-    joined = rollup(spending, "customer_id").join(
-        customers.select("customer_id", *attributes), "customer_id"
+    joined = customers.select("customer_id", *attributes).join(
+        rollup(spending, "customer_id"), "customer_id"
     )
     return rollup(joined, "customer_id", *attributes)
 
@@ -81,7 +82,7 @@ def top_customers(spending: DataFrame, customers: DataFrame, k: int = 10) -> Dat
 
 def weekend_weekday(activity: DataFrame, dates: DataFrame) -> DataFrame:
     """Weekend against weekday activity."""
-    per_day = rollup(activity, "date_key").join(dates.select("date_key", "is_weekend"), "date_key")
+    per_day = dates.select("date_key", "is_weekend").join(rollup(activity, "date_key"), "date_key")
     return (
         rollup(per_day, "is_weekend")
         .selectExpr(

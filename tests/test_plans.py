@@ -44,6 +44,8 @@ def test_facts_are_aggregated_before_joins(spark, no_broadcast, name):
     """Below the join on the fact side, whatever is shuffled has been aggregated."""
     plan = plan_of(contract.queries()[name](spark, SF_DIR))
     fact_side = plan[plan.index("SortMergeJoin [customer_id"):]
+    if name != "dq_fk_integrity":  # the dimension is the left side, with a shuffle of its own
+        fact_side = fact_side[re.search(r"\n *\+- (\*\(\d+\) )?Sort \[customer_id", fact_side).start():]
     lines = [line for line in fact_side.splitlines() if re.search(r"HashAggregate|Exchange hash|FileScan", line)]
     scan = next(i for i, line in enumerate(lines) if "FileScan" in line)
     shuffles = [i for i in range(scan) if "Exchange hash" in lines[i]]
