@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType
 
 from ledgerstar.operators import dimensions, facts, quality
 from ledgerstar.operators.cleanse import cleanse
-from ledgerstar.operators.rollups import ACTIVITY_KEYS, CUSTOMER_KEYS, rollup
+from ledgerstar.operators.rollups import ACTIVITY_KEYS, rollup
 from ledgerstar.plans import charts, reports
 from ledgerstar.schemas import (
     FACT_PARTITIONS,
@@ -146,10 +146,12 @@ def build_star(
     write_parquet(facts.fact_transactions(processed), fact_path, FACT_PARTITIONS)
 
     written = files.read_parquet(spark, fact_path, tables["fact_transactions"])
+    people = files.read_parquet(spark, f"{warehouse}/dim_customers", tables["dim_customers"])
     rollups = f"{warehouse}/rollups"
+    spending = reports.customer_spending(written, people)
     write_all(
         partial(write_parquet, rollup(written, *ACTIVITY_KEYS), f"{rollups}/activity"),
-        partial(write_parquet, rollup(written, *CUSTOMER_KEYS), f"{rollups}/spending"),
+        partial(write_parquet, spending, f"{rollups}/spending"),
     )
     activity = spark.read.parquet(f"{rollups}/activity")
     write_parquet(dimensions.dim_date(activity), f"{warehouse}/dim_date")
@@ -161,21 +163,21 @@ def report(
     """Write all reports and chart datasets as line JSON; returns them, still lazy."""
     activity = spark.read.parquet(f"{base}/warehouse/rollups/activity")
     spending = spark.read.parquet(f"{base}/warehouse/rollups/spending")
-    customers, dates = star["dim_customers"], star["dim_date"]
+    dates = star["dim_date"]
     outputs = {
         "analytics/monthly_revenue": reports.monthly_revenue(activity),
-        "analytics/revenue_by_account": reports.revenue_by_account(spending, customers),
-        "analytics/top_customers": reports.top_customers(spending, customers),
+        "analytics/revenue_by_account": reports.revenue_by_account(spending),
+        "analytics/top_customers": reports.top_customers(spending),
         "analytics/weekend_weekday": reports.weekend_weekday(activity, dates),
         "analytics/anomaly_summary": reports.anomaly_summary(activity),
-        "analytics/tenure_segments": reports.tenure_segments(spending, customers),
+        "analytics/tenure_segments": reports.tenure_segments(spending),
         "dashboard/monthly_volume": charts.monthly_volume(activity),
         "dashboard/type_distribution": charts.type_distribution(activity),
-        "dashboard/top_customers": charts.top_customers(spending, customers),
-        "dashboard/account_pivot": charts.account_pivot(spending, customers),
+        "dashboard/top_customers": charts.top_customers(spending),
+        "dashboard/account_pivot": charts.account_pivot(spending),
         "dashboard/anomaly_rate": charts.anomaly_rate(activity),
         "dashboard/heatmap": charts.heatmap(activity),
-        "dashboard/kpi_summary": charts.kpi_summary(activity, customers),
+        "dashboard/kpi_summary": charts.kpi_summary(activity, star["dim_customers"]),
     }
     write_all(*[partial(write_json, frame, f"{base}/{name}") for name, frame in outputs.items()])
     return outputs

@@ -55,7 +55,9 @@ def type_distribution(activity: DataFrame) -> DataFrame:
     )
 
 
-def top_customers(spending: DataFrame, customers: DataFrame, k: int = 10) -> DataFrame:
+def top_customers(
+    spending: DataFrame, customers: DataFrame | None = None, k: int = 10
+) -> DataFrame:
     """The ``k`` customers with the highest spend, with the columns a bar chart labels."""
     return (
         by_customer(spending, customers, "first_name", "last_name", "account_type")
@@ -73,18 +75,21 @@ def top_customers(spending: DataFrame, customers: DataFrame, k: int = 10) -> Dat
     )
 
 
-def account_revenue(spending: DataFrame, customers: DataFrame) -> DataFrame:
+def account_revenue(spending: DataFrame, customers: DataFrame | None = None) -> DataFrame:
     """Revenue per account type and transaction type, one row per pair."""
-    per_customer = customers.select("customer_id", "account_type").join(
-        rollup(spending, "customer_id", "transaction_type"), "customer_id"
-    )
-    return rollup(per_customer, "account_type", "transaction_type").selectExpr(
+    if customers is not None:
+        spending = customers.select("customer_id", "account_type").join(
+            rollup(spending, "customer_id", "transaction_type"), "customer_id"
+        )
+    return rollup(spending, "account_type", "transaction_type").selectExpr(
         "account_type", "transaction_type", f"{REVENUE} AS revenue"
     )
 
 
 def account_pivot(
-    spending: DataFrame, customers: DataFrame, types: Sequence[str] | None = None
+    spending: DataFrame,
+    customers: DataFrame | None = None,
+    types: Sequence[str] | None = None,
 ) -> DataFrame:
     """Account types by transaction types, zero where there is no revenue.
 

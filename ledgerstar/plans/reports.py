@@ -2,28 +2,44 @@
 
 ``activity`` and ``spending`` are the fact table or a rollup that holds at least the keys a
 report names. Joins to dimensions run on rolled-up rows: at most one per customer (and type)
-or day, so neither hot customers nor the row count of the fact reach a join.
+or day, so neither hot customers nor the row count of the fact reach a join. ``customers`` may
+be left out where ``spending`` comes from :func:`customer_spending`, which has joined them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerstar.operators.rollups import MEAN_AMOUNT, REVENUE, rollup
+from ledgerstar.operators.rollups import CUSTOMER_KEYS, MEAN_AMOUNT, REVENUE, rollup
 from ledgerstar.schemas import TENURE_SEGMENTS
 
+CUSTOMER_ATTRIBUTES = ("first_name", "last_name", "account_type", "tenure_days")
 
-def by_customer(spending: DataFrame, customers: DataFrame, *attributes: str) -> DataFrame:
+
+def customer_spending(spending: DataFrame, customers: DataFrame) -> DataFrame:
+    """Rollup per customer and type with the customer's attributes: one join for all reports.
+
+    Transactions without a known customer drop out. The dimension is on the left, which a
+    sort-merge join streams: it buffers only the rollup rows of one customer.
+    """
+    return customers.select("customer_id", *CUSTOMER_ATTRIBUTES).join(
+        rollup(spending, *CUSTOMER_KEYS), "customer_id"
+    )
+
+
+def by_customer(
+    spending: DataFrame, customers: DataFrame | None, *attributes: str
+) -> DataFrame:
     """Measures per customer and attributes; transactions without a known customer drop out.
 
     Grouping again after the join merges repeated dimension rows, should the key not be
-    unique. The rows are already partitioned by customer, so it adds no shuffle. The dimension
-    is on the left, which a sort-merge join streams: it buffers the one rollup row per customer.
+    unique. The rows are already partitioned by customer, so it adds no shuffle.
     """
-    joined = customers.select("customer_id", *attributes).join(
-        rollup(spending, "customer_id"), "customer_id"
-    )
-    return rollup(joined, "customer_id", *attributes)
+    if customers is not None:
+        spending = customers.select("customer_id", *attributes).join(
+            rollup(spending, "customer_id"), "customer_id"
+        )
+    return rollup(spending, "customer_id", *attributes)
 
 
 def tenure_segment(days: str) -> str:
@@ -48,7 +64,7 @@ def monthly_revenue(activity: DataFrame) -> DataFrame:
     )
 
 
-def revenue_by_account(spending: DataFrame, customers: DataFrame) -> DataFrame:
+def revenue_by_account(spending: DataFrame, customers: DataFrame | None = None) -> DataFrame:
     """Revenue and number of paying customers per account type, largest first."""
     per_customer = by_customer(spending, customers, "account_type")
     return (
@@ -64,7 +80,9 @@ def revenue_by_account(spending: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def top_customers(spending: DataFrame, customers: DataFrame, k: int = 10) -> DataFrame:
+def top_customers(
+    spending: DataFrame, customers: DataFrame | None = None, k: int = 10
+) -> DataFrame:
     """The ``k`` customers with the highest spend; equal spend is ordered by customer."""
     return (
         by_customer(spending, customers, "first_name", "last_name", "account_type")
@@ -111,12 +129,14 @@ def anomaly_summary(activity: DataFrame) -> DataFrame:
     )
 
 
-def tenure_segments(spending: DataFrame, customers: DataFrame) -> DataFrame:
+def tenure_segments(spending: DataFrame, customers: DataFrame | None = None) -> DataFrame:
     """Paying customers, transactions and revenue per tenure bucket, largest revenue first."""
-    tenured = customers.selectExpr(
-        "customer_id", f"{tenure_segment('tenure_days')} AS tenure_segment"
-    )
-    per_customer = by_customer(spending, tenured, "tenure_segment")
+    segment = {"tenure_segment": F.expr(tenure_segment("tenure_days"))}
+    if customers is None:
+        spending = spending.withColumns(segment)
+    else:
+        customers = customers.withColumns(segment)
+    per_customer = by_customer(spending, customers, "tenure_segment")
     return (
         rollup(per_customer, "tenure_segment", people=F.count("*"))
         .selectExpr(

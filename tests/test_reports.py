@@ -53,13 +53,16 @@ def star(spark):
     return tables
 
 
-@pytest.fixture(scope="module", params=["fact", "rollups"])
+@pytest.fixture(scope="module", params=["fact", "rollups", "joined"])
 def inputs(request, star):
-    """Activity and spending as the fact itself, and as wide rollups."""
-    fact = star["fact_transactions"]
+    """Activity and spending as the fact itself, as wide rollups, and with customers joined."""
+    fact, people = star["fact_transactions"], star["dim_customers"]
     if request.param == "fact":
-        return fact, fact
-    return rollup(fact, *ACTIVITY_KEYS).cache(), rollup(fact, *CUSTOMER_KEYS).cache()
+        return fact, [fact, people]
+    activity = rollup(fact, *ACTIVITY_KEYS).cache()
+    if request.param == "rollups":
+        return activity, [rollup(fact, *CUSTOMER_KEYS).cache(), people]
+    return activity, [reports.customer_spending(fact, people).cache()]
 
 
 REVENUE = "CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE)"
@@ -87,9 +90,9 @@ def test_monthly_revenue(spark, inputs):
     )
 
 
-def test_revenue_by_account(spark, star, inputs):
+def test_revenue_by_account(spark, inputs):
     same(
-        reports.revenue_by_account(inputs[1], star["dim_customers"]),
+        reports.revenue_by_account(*inputs[1]),
         spark.sql(f"""SELECT account_type, COUNT(*) transaction_count, {REVENUE} total_revenue,
             {MEAN} avg_amount, COUNT(DISTINCT f.customer_id) unique_customers
             {JOINED} GROUP BY account_type ORDER BY total_revenue DESC"""),
@@ -99,7 +102,7 @@ def test_revenue_by_account(spark, star, inputs):
 
 def test_top_customers(spark, star, inputs):
     same(
-        reports.top_customers(inputs[1], star["dim_customers"], 5),
+        reports.top_customers(*inputs[1], k=5),
         spark.sql(f"""SELECT c.customer_id, CONCAT(first_name, ' ', last_name) customer_name, account_type,
             COUNT(*) transaction_count, {REVENUE} total_spend {JOINED}
             GROUP BY c.customer_id, first_name, last_name, account_type
@@ -130,7 +133,7 @@ def test_anomaly_summary(spark, inputs):
 
 def test_tenure_segments(spark, star, inputs):
     same(
-        reports.tenure_segments(inputs[1], star["dim_customers"]),
+        reports.tenure_segments(*inputs[1]),
         spark.sql(f"""SELECT {TENURE} tenure_segment, COUNT(DISTINCT c.customer_id) customer_count,
             COUNT(*) transaction_count, {REVENUE} total_revenue {JOINED}
             GROUP BY ALL ORDER BY total_revenue DESC"""),
@@ -161,7 +164,7 @@ def test_type_distribution(spark, inputs):
 
 def test_top_customers_chart(spark, star, inputs):
     same(
-        charts.top_customers(inputs[1], star["dim_customers"]),
+        charts.top_customers(*inputs[1]),
         spark.sql(f"""SELECT c.customer_id, first_name, last_name, account_type, {REVENUE} total_spend,
             COUNT(*) tx_count, CONCAT(first_name, ' ', last_name) name {JOINED}
             GROUP BY c.customer_id, first_name, last_name, account_type
@@ -178,18 +181,18 @@ def test_account_pivot(spark, star, inputs):
         for t in types
     )
     expected = spark.sql(f"SELECT account_type, {columns} {JOINED} {known} GROUP BY account_type")
-    observed = charts.account_pivot(inputs[1], star["dim_customers"])
+    observed = charts.account_pivot(*inputs[1])
     assert observed.columns == ["account_type", *types]
     same(observed, expected)
     same(
-        charts.account_pivot(inputs[1], star["dim_customers"], types=["Fee"]),
+        charts.account_pivot(*inputs[1], types=["Fee"]),
         expected.select("account_type", "Fee"),
     )
 
 
 def test_account_revenue(spark, star, inputs):
     same(
-        charts.account_revenue(inputs[1], star["dim_customers"]),
+        charts.account_revenue(*inputs[1]),
         spark.sql(f"SELECT account_type, transaction_type, {REVENUE} revenue {JOINED} GROUP BY ALL"),
     )
 
@@ -219,7 +222,7 @@ def test_ties_are_ordered_by_customer(spark):
     tx = transactions(spark, *[{"customer_id": c, "amount": a} for c, a in [(3, "5"), (2, "5"), (1, "4"), (4, "9")]])
     people = dimensions.dim_customers(customers(spark, *[{"customer_id": c} for c in range(1, 5)]))
     fact = facts.fact_transactions(cleanse(tx))
-    assert [r["customer_id"] for r in rows(reports.top_customers(fact, people, 2))] == [4, 2]
+    assert [r["customer_id"] for r in rows(reports.top_customers(fact, people, k=2))] == [4, 2]
 
 
 def test_tenure_bucket_edges(spark):
