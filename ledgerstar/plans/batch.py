@@ -52,24 +52,33 @@ def run(
     base: str,
     as_of: datetime.date | None = None,
     fail_on: tuple[str, ...] = (),
+    tables: Mapping[str, DataFrame] | None = None,
     customer_id: str = "integer",
     timestamp: str = "timestamp",
 ) -> dict[str, DataFrame]:
     """Process the landing zone below ``base``; returns the reports and chart datasets.
 
-    Failed quality checks are reported and do not stop the run, unless named in ``fail_on``.
+    With ``tables`` (``customers`` and ``transactions`` from any source) these are taken instead
+    of landed text, which is then neither needed nor parsed. The last two arguments are the
+    types that landed text is read with. Failed quality checks are reported and do not stop the
+    run, unless named in ``fail_on``.
     """
-    tables = table_schemas(customer_id, timestamp)
-    stage(spark, base, customer_id, timestamp)
+    if tables is None:
+        stage_landed(spark, base, customer_id, timestamp)
+    else:
+        writes = {f"{base}/staged/{name}": tables[name] for name in raw_schemas()}
+        write_all(*[partial(write_parquet, frame, path) for path, frame in writes.items()])
     check_quality(spark, base, fail_on)
 
     transactions = spark.read.parquet(f"{base}/staged/transactions").drop(files.CORRUPT)
     processed = f"{base}/processed/fact_transactions"
     write_parquet(cleanse(transactions), processed, PROCESSED_PARTITIONS)
 
-    build_star(spark, base, files.read_parquet(spark, processed, tables["processed"]), as_of, tables)
-    outputs = report(spark, base, files.load_star(spark, f"{base}/warehouse", tables))
-    verify(spark, base)
+    staged = {field.name: field.dataType.typeName() for field in transactions.schema}
+    schemas = table_schemas(staged["customer_id"], staged["transaction_date"])
+    build_star(spark, base, as_of, schemas)
+    outputs = report(spark, base, files.load_star(spark, f"{base}/warehouse", schemas))
+    verify(spark, base, landed=tables is None)
     return outputs
 
 
@@ -80,7 +89,7 @@ def write_all(*writes: Callable[[], None]) -> None:
             done.result()
 
 
-def stage(spark: SparkSession, base: str, customer_id: str, timestamp: str) -> None:
+def stage_landed(spark: SparkSession, base: str, customer_id: str, timestamp: str) -> None:
     """Parse the landed text once, into columns; rows with malformed cells are also set aside."""
 
     def stage_table(name: str, schema: StructType) -> None:
@@ -127,12 +136,14 @@ def check_quality(spark: SparkSession, base: str, fail_on: tuple[str, ...] = ())
 def build_star(
     spark: SparkSession,
     base: str,
-    processed: DataFrame,
     as_of: datetime.date | None,
-    tables: Mapping,
+    schemas: Mapping[str, StructType],
 ) -> None:
     """Write the fact, its two rollups and the three dimensions."""
     warehouse = f"{base}/warehouse"
+    processed = files.read_parquet(
+        spark, f"{base}/processed/fact_transactions", schemas["processed"]
+    )
     customers = spark.read.parquet(f"{base}/staged/customers").drop(files.CORRUPT)
     small = {
         "dim_customers": dimensions.dim_customers(customers, as_of),
@@ -145,8 +156,8 @@ def build_star(
     fact_path = f"{warehouse}/fact_transactions"
     write_parquet(facts.fact_transactions(processed), fact_path, FACT_PARTITIONS)
 
-    written = files.read_parquet(spark, fact_path, tables["fact_transactions"])
-    people = files.read_parquet(spark, f"{warehouse}/dim_customers", tables["dim_customers"])
+    written = files.read_parquet(spark, fact_path, schemas["fact_transactions"])
+    people = files.read_parquet(spark, f"{warehouse}/dim_customers", schemas["dim_customers"])
     rollups = f"{warehouse}/rollups"
     spending = reports.customer_spending(written, people)
     write_all(
@@ -213,25 +224,27 @@ def reconcile(profiled: DataFrame, stages: Mapping[str, DataFrame]) -> DataFrame
     return raw.unionByName(row_counts(stages))
 
 
-def verify(spark: SparkSession, base: str) -> DataFrame:
+def verify(spark: SparkSession, base: str, landed: bool = True) -> DataFrame:
     """Check that all outputs exist and that no row got lost between stages.
 
-    Counting reads file footers only. Returns the counts; raises :class:`OutputError`.
+    ``landed`` tells whether the run started from landed text. Counting reads file footers
+    only. Returns the counts; raises :class:`OutputError`.
     """
     paths = {
         "processed": f"{base}/processed/fact_transactions",
         **{name: f"{base}/warehouse/{name}" for name in STAR_TABLES},
     }
-    landed = {name: f"{base}/raw/raw_{name}.csv" for name in raw_schemas()}
+    texts = {name: f"{base}/raw/raw_{name}.csv" for name in raw_schemas()} if landed else {}
+    schemas = table_schemas()  # lets an output be empty; counting reads none of the columns
     stages, missing = {}, []
-    for name, path in {**landed, **paths}.items():
+    for name, path in {**texts, **paths}.items():
         try:
-            if name in landed:
+            if name in texts:
                 spark.read.text(path)
             else:
-                stages[name] = spark.read.parquet(path)
+                stages[name] = spark.read.schema(schemas[name]).parquet(path)
         except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             missing.append(path)
     if missing:

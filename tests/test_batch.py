@@ -69,6 +69,26 @@ def test_counts_reconcile(spark, finished):
     assert (counts["removed"], counts["removed_null_status"]) == (4, 1)
 
 
+def test_run_from_tables_of_any_source(spark, finished, tmp_path):
+    base, outputs = finished
+    tables = {n: spark.read.parquet(f"{base}/staged/{n}") for n in ("customers", "transactions")}
+    direct = batch.run(spark, str(tmp_path), AS_OF, tables=tables)
+    assert not (tmp_path / "raw").exists()
+    for name in ("analytics/monthly_revenue", "dashboard/kpi_summary", "analytics/tenure_segments"):
+        assert direct[name].collect() == outputs[name].collect()
+
+
+def test_run_that_keeps_no_transaction(spark, tmp_path):
+    tables = {
+        "customers": customers(spark, {"customer_id": 1}),
+        "transactions": transactions(spark, {"status": "Failed"}),
+    }
+    outputs = batch.run(spark, str(tmp_path), AS_OF, tables=tables)
+    assert outputs["dashboard/kpi_summary"].first()["total_transactions"] == 0
+    assert outputs["analytics/revenue_by_account"].count() == 0
+    assert outputs["dashboard/heatmap"].count() == 168
+
+
 def test_second_run_replaces_the_first(spark, finished):
     base, _ = finished
     batch.run(spark, base, AS_OF)
