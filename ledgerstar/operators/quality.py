@@ -143,7 +143,7 @@ def quality_report(
     )
     ids = _checks(duplicated, _check("unique_transaction_ids", "duplicate_count"))
     invalid = {
-        name: F.expr(f"count_if(column = '{name}' AND NOT is_valid) AS {name}") for name in domains
+        name: F.expr(f"count_if(`column` = '{name}' AND NOT is_valid) AS {name}") for name in domains
     }
     values = _checks(
         domain_values(distributed, domains).agg(*invalid.values()),

@@ -24,6 +24,9 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header. A cell that is empty, or does not fit its type, becomes null.
 
+    Columns are read by position; a header that does not name them as the schema does is an
+    error, rather than values in the wrong column.
+
     With ``keep_corrupt`` the source line of each such row is kept in ``_corrupt_record``;
     write that frame before looking for corrupt rows. ``multi_line`` allows line breaks inside
     quoted text, but a file can then no longer be split among tasks.
@@ -32,6 +35,7 @@ def read_csv(
     return (
         spark.read.schema(StructType([*schema.fields, *extra]))
         .options(**CSV_OPTIONS)
+        .option("enforceSchema", False)
         .option("multiLine", multi_line)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)

@@ -26,7 +26,8 @@ def landing(spark, tmp_path_factory):
     }
     batch.land(tables, base)
     with open(f"{base}/raw/raw_transactions.csv/more.csv", "w") as extra:
-        extra.write("h,h,h,h,h,h\nbad,zero,2024-02-03 04:05:06,Deposit,7,Completed\n")
+        extra.write("transaction_id,customer_id,transaction_date,transaction_type,amount,status\n")
+        extra.write("bad,zero,2024-02-03 04:05:06,Deposit,7,Completed\n")
     return base
 
 

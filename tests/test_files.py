@@ -72,6 +72,23 @@ def test_csv_written_elsewhere(spark, tmp_path):
     assert raw_schemas()["transactions"].names == RAW["transactions"].names
 
 
+@pytest.mark.parametrize("keep_corrupt", [False, True])
+def test_csv_columns_in_another_order_are_refused(spark, tmp_path, keep_corrupt):
+    path = tmp_path / "t.csv"
+    path.write_text("customer_id,transaction_id,transaction_date,transaction_type,amount,status\n"
+                    "1,a,2024-05-03 00:00:00,Deposit,1.00,Completed\n")
+    frame = sources.read_csv(spark, str(path), RAW["transactions"], keep_corrupt=keep_corrupt)
+    with pytest.raises(Exception, match="(?i)header"):
+        frame.collect()
+
+
+def test_null_date_round_trip(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    fact = facts.fact_transactions(cleanse(transactions(spark, {"transaction_date": None}, {})))
+    sinks.write_parquet(fact, path, FACT_PARTITIONS)
+    assert as_set(sources.read_parquet(spark, path, TABLES["fact_transactions"])) == as_set(fact)
+
+
 def test_processed_round_trip(spark, tmp_path):
     path = str(tmp_path / "processed")
     types = ["Deposit", "Fee", "12", None]
