@@ -21,6 +21,14 @@ from ledgerstar.schemas import (
 from ledgerstar.sinks import files as sinks
 from ledgerstar.sources import files as sources
 
+try:
+    import corpus_pipeline
+    from ledgerstar.llm import queries as corpus_queries
+except ModuleNotFoundError as error:  # the subpackage can be left out; nothing else may be missing
+    if not (error.name or "").startswith(("corpus_pipeline", "ledgerstar.llm")):
+        raise
+    corpus_pipeline = corpus_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 RAW = raw_schemas(fx.CUSTOMER_ID, fx.TIMESTAMP)
@@ -238,6 +246,16 @@ def _warehouse_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return _star_queries() | _corpus_queries()
+
+
+def _corpus_queries() -> dict[str, Query]:
+    if corpus_queries is None:
+        return {}
+    return corpus_queries.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def _star_queries() -> dict[str, Query]:
     return {
         "tx_clean": fx.processed,
         "dim_customers": fx.dim_customers,
@@ -300,4 +318,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    return oracles.oracle_sql() | ({} if corpus_queries is None else corpus_queries.oracle_sql())

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import datetime
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerstar.operators.cleanse import cleanse
 from ledgerstar.operators import dimensions, facts
+from ledgerstar.scratch import folder as scratch  # noqa: F401  (used as fixtures.scratch)
 
 AS_OF = datetime.date(2001, 8, 2)  # stands in for the wall clock
 
@@ -82,15 +81,3 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.dim_customers(customers(spark, sf_dir), AS_OF)
-
-
-def scratch(spark: SparkSession) -> str:
-    """A fresh folder below the shared one that the cluster names; local only where unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if shared:
-        return f"{shared.rstrip('/')}/ledgerstar-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all nodes share")
-    return tempfile.mkdtemp(prefix="ledgerstar-")
