@@ -8,9 +8,9 @@ full sets.
 
 No bucket is expanded into all its pairs. First every member meets one center of its bucket, and
 links are merged into components. Only members of different components that have not met that way are
-then compared, in blocks of bounded size that emit no more than the survivors: the best partner per
-component first, and after merging those links, whatever still joins two components. So a link is lost
-only with the chosen miss probability, and thousands of copies cost about one comparison each.
+then compared, in blocks of bounded size that hold signatures and sets and emit confirmed links alone, one
+at most for two components. So a component is lost only with the chosen miss probability, and no rows of
+pairs grow with the square of a group.
 
 Defined results: a text without words has an empty set and is linked with nothing; a text with fewer
 words than a shingle has its whole sequence as the only one; rows with a null id have no component and
@@ -39,6 +39,7 @@ HASHES = 180
 BATCH = 36  # signature values compared at a time
 MISS = 1e-5  # chance to give up a pair exactly at the threshold
 BLOCK = 2048  # members of a bucket on either side of one comparison
+BLOCK_BYTES = 64 << 20  # of their sets
 
 SIGNED = "doc_id long, n_shingles long, rep long, bands array<bigint>, signature binary"
 SETS = "rep long, shingles binary"
@@ -177,12 +178,10 @@ def _estimate(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.Re
 
 def _confirm(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        good = []
-        for left, right in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
-            x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-            both = np.sort(np.concatenate([x, y]))
-            shared = int((both[1:] == both[:-1]).sum())
-            good.append(100 * shared >= percent * (len(both) - shared))
+        good = [
+            _linked(np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64), percent)
+            for left, right in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist())
+        ]
         keep = pa.array(good, pa.bool_())
         yield pa.RecordBatch.from_arrays(
             [batch.column(x).filter(keep) for x in ("a", "b")], names=["a", "b"]
@@ -207,20 +206,33 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return whole.mapInArrow(lambda batches: _confirm(batches, percent), "a long, b long")
 
 
-def _compare(group: pd.DataFrame, percent: int, rows: int, best: bool) -> pd.DataFrame:
-    """Surviving pairs of one block that lie in different components.
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = np.sort(np.concatenate([x, y]))
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= percent * (len(both) - shared)
 
-    A pair is left to the first band that its signatures share.
+
+def _compare(group: pd.DataFrame, percent: int, rows: int) -> pd.DataFrame:
+    """Confirmed links of one block between different components.
+
+    A pair is left to the first band that its signatures share. Components that a link has joined
+    are not compared any further in the block, and likely pairs come first.
     """
     key, low, high = (int(group[x].iloc[0]) for x in ("key", "low", "high"))
     band = (key + (1 << 63)) & 0xFF
     group = group.sort_values("rep", ignore_index=True)
     signs = np.frombuffer(b"".join(group["signature"]), np.uint16).reshape(-1, HASHES)
+    sets = [np.frombuffer(x, np.uint64) for x in group["shingles"]]
     reps, comps, block = (group[x].to_numpy() for x in ("rep", "comp", "block"))
     least, found = least_matches(percent), []
-    for i in range(len(group)):
-        if block[i] != low:
-            continue
+    joined: dict[int, int] = {}
+
+    def root(comp: int) -> int:
+        while comp in joined:
+            comp = joined[comp]
+        return comp
+
+    for i in np.flatnonzero(block == low).tolist():
         others = np.flatnonzero((block == high) & (comps != comps[i]))
         if low == high:
             others = others[others > i]
@@ -231,51 +243,52 @@ def _compare(group: pd.DataFrame, percent: int, rows: int, best: bool) -> pd.Dat
         for step, fewest in enumerate(least):
             alive &= equal[:, : (step + 1) * BATCH].sum(1) >= fewest
         alive &= equal.reshape(len(others), -1, rows).all(2).argmax(1) == band
-        for j, n in zip(others[alive].tolist(), equal[alive].sum(1).tolist()):
-            found.append((reps[i], reps[j], comps[i], comps[j], n))
-    pairs = pd.DataFrame(found, columns=["a", "b", "comp_a", "comp_b", "n"])
-    if best and len(pairs):
-        pairs = pairs.sort_values(["n", "a", "b"], ascending=[False, True, True])
-        by_a = pairs.drop_duplicates(["a", "comp_b"])
-        by_b = pairs.drop_duplicates(["b", "comp_a"])
-        big = pairs.groupby("comp_a")["a"].transform("size") >= pairs.groupby("comp_b")["b"].transform("size")
-        # each member of the side with fewer pairs keeps its best partner in every other component
-        pairs = pd.concat([by_b[big.loc[by_b.index]], by_a[~big.loc[by_a.index]]]).drop_duplicates(["a", "b"])
-    low_first = np.minimum(pairs["a"], pairs["b"]), np.maximum(pairs["a"], pairs["b"])
-    return pd.DataFrame({"a": low_first[0].astype("int64"), "b": low_first[1].astype("int64")})
+        likely = others[alive][np.argsort(-equal[alive].sum(1), kind="stable")]
+        for j in likely.tolist():
+            one, other = root(comps[i]), root(comps[j])
+            if one != other and _linked(sets[i], sets[j], percent):
+                joined[max(one, other)] = min(one, other)
+                found.append((reps[i], reps[j]))
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
 def across(
-    members: DataFrame, reps: DataFrame, comps: DataFrame, percent: int, rows: int, best: bool
+    members: DataFrame, reps: DataFrame, sets: DataFrame, comps: DataFrame, percent: int, rows: int
 ) -> DataFrame:
-    """Survivors between components, from buckets where members have not met their like.
+    """Links between components, from buckets where members have not met their like.
 
-    ``members`` has ``(key, rep, center)`` of all buckets of two or more.
+    ``members`` has ``(key, rep, center)`` of all buckets of two or more. Blocks are bounded in rows
+    and in bytes of sets.
     """
-    labelled = members.join(comps, F.col("rep") == F.col("id"), "left").select(
-        "key", "rep", F.coalesce("comp", "rep").alias("comp"), "center"
+    met = members.filter("rep != center")
+    labelled = (
+        met.join(comps, F.col("rep") == F.col("id"), "left")
+        .join(sets.select(F.col("rep").alias("of"), F.octet_length("shingles").alias("bytes")), F.expr("rep = of"))
+        .select("key", "rep", F.coalesce("comp", "rep").alias("comp"), "bytes")
     )
     open_keys = (
-        labelled.filter("rep != center")
-        .groupBy("key")
-        .agg(F.min("comp").alias("first"), F.max("comp").alias("last"), F.count("*").alias("n"))
+        labelled.groupBy("key")
+        .agg(F.min("comp").alias("first"), F.max("comp").alias("last"), F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
         .filter("first != last")
-        .selectExpr("key AS of_key", f"ceil(n / {BLOCK}) AS blocks")
+        .selectExpr(
+            "key AS of_key", f"greatest(ceil(n / {BLOCK}), ceil(bytes / {BLOCK_BYTES})) AS blocks"
+        )
     )
-    signed = (
-        labelled.filter("rep != center")
+    whole = reps.select("rep", "signature").join(sets, "rep").withColumnRenamed("rep", "of")
+    blocked = (
+        labelled.drop("bytes")
         .join(open_keys, F.expr("key = of_key"))
-        .join(reps.select(F.col("rep").alias("of"), "signature"), F.expr("rep = of"))
         .withColumn("block", F.expr("pmod(xxhash64(rep), blocks)"))
         .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+        .join(whole, F.expr("rep = of"))
         .selectExpr(
-            "key", "rep", "comp", "signature", "block",
+            "key", "rep", "comp", "signature", "shingles", "block",
             "least(block, other) AS low", "greatest(block, other) AS high",
         )
     )
     return (
-        signed.groupBy("key", "low", "high")
-        .applyInPandas(lambda group: _compare(group, percent, rows, best), "a long, b long")
+        blocked.groupBy("key", "low", "high")
+        .applyInPandas(lambda group: _compare(group, percent, rows), "a long, b long")
         .distinct()
     )
 
@@ -368,10 +381,8 @@ def linked(
     pairs = members.filter("rep != center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
     links = tables.save(confirmed(estimated(pairs, reps, percent), sets, percent), "links0")
     comps = components(links, tables, "round0")
-    for turn, best in ((1, True), (2, False)):
-        more = tables.save(across(members, reps, comps, percent, rows, best), f"across{turn}")
-        links = links.unionByName(tables.save(confirmed(more, sets, percent), f"links{turn}"))
-        comps = components(links, tables, f"round{turn}")
+    more = tables.save(across(members, reps, sets, comps, percent, rows), "links1")
+    comps = components(links.unionByName(more), tables, "round1")
 
     named = owner.join(comps, F.col("rep") == F.col("id"), "left").select(
         "rep", "owner", F.coalesce("comp", "rep").alias("comp")
