@@ -29,7 +29,7 @@ SHARD_IDS = 2_000_000
 PARTITION_BYTES = 32 << 20  # of text per task, about
 
 SHARDS = "task int, shard int, n_ids long, doc_ids array<bigint>, ends binary, ids binary"
-READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
+READ = "task int, shard int, doc_id long, within long, n_tokens long, ids_crc32 long"
 
 
 def _shards(batches, path: str, pieces: str, end: int) -> Iterator[pa.RecordBatch]:
@@ -90,23 +90,25 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = np.concatenate([[0], ends[:-1]])
             ids = np.frombuffer(row["ids"], "<u2").astype("<u4")
             sums = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+            n = len(ends)
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array(np.full(n, row["task"], np.int32)),
+                    pa.array(np.full(n, row["shard"], np.int32)),
                     pa.array(row["doc_ids"], pa.int64()),
-                    pa.array(starts + row["first"], pa.int64()),
+                    pa.array(starts, pa.int64()),
                     pa.array(ends - starts, pa.int64()),
                     pa.array(sums, pa.int64()),
                 ],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
+                names=["task", "shard", "doc_id", "within", "n_tokens", "ids_crc32"],
             )
 
 
-def placed(spark: SparkSession, folder: str) -> DataFrame:
-    """The shards with ``first``, the number of ids before each.
+def first_ids(shards: DataFrame) -> DataFrame:
+    """``(of_task, of_shard, first)``: the number of ids before each shard.
 
     The window without a partition runs over one row per writing task.
     """
-    shards = spark.read.schema(SHARDS).parquet(folder)
     before = (
         shards.groupBy("task")
         .agg(F.sum("n_ids").alias("n"))
@@ -115,10 +117,18 @@ def placed(spark: SparkSession, folder: str) -> DataFrame:
     within = shards.selectExpr(
         "task", "shard", "sum(n_ids) OVER (PARTITION BY task ORDER BY shard) - n_ids AS within"
     )
-    first = within.join(before, "task").selectExpr("task", "shard", "before + within AS first")
-    return shards.join(first, ["task", "shard"])
+    return within.join(before, "task").selectExpr(
+        "task AS of_task", "shard AS of_shard", "before + within AS first"
+    )
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    """Where each document lies in the corpus, and the checksum of its ids, from the files."""
-    return placed(spark, folder).select("first", "doc_ids", "ends", "ids").mapInArrow(_read, READ)
+    """Where each document lies in the corpus, and the checksum of its ids, from the files.
+
+    Shards are decoded where they lie; only a short row per document meets the shards' places.
+    """
+    shards = spark.read.schema(SHARDS).parquet(folder)
+    documents = shards.select("task", "shard", "doc_ids", "ends", "ids").mapInArrow(_read, READ)
+    return documents.join(first_ids(shards), F.expr("task = of_task AND shard = of_shard")).selectExpr(
+        "doc_id", "first + within AS start", "n_tokens", "ids_crc32"
+    )
