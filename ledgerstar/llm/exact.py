@@ -101,7 +101,7 @@ def confirmed(positives: DataFrame, documents: DataFrame) -> DataFrame:
     )
     met = (texts.digest == wanted.of_digest) & texts.doc_id.eqNullSafe(wanted.of_id)
     return (
-        texts.join(wanted.distinct(), met)
+        texts.join(wanted.distinct().hint("merge"), met)
         .groupBy("digest")
         .agg(F.min("bytes").alias("low"), F.max("bytes").alias("high"))
         .filter("low = high")
