@@ -78,7 +78,7 @@ def chained(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def packed(values: np.ndarray) -> bytes:
     """Integers in little room: byte planes, compressed."""
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
     return zstandard.compress(planes.tobytes(), 1)
 
 
