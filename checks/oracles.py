@@ -215,8 +215,10 @@ def oracle_sql() -> dict[str, str]:
         "chart4_account_pivot": f"""{_STAR} SELECT account_type, """
         + ", ".join(
             f"COALESCE(CAST(SUM(amount) FILTER (transaction_type = '{name}') AS DOUBLE), 0) AS \"{name}\""
-            for name in ("Deposit", "Withdrawal", "Transfer", "Payment", "Fee")
+            for name in ("Deposit", "Withdrawal", "Transfer", "Payment")
         )
+        + """, COALESCE(CAST(SUM(amount) FILTER (transaction_type IS NULL OR transaction_type NOT IN
+            ('Deposit', 'Withdrawal', 'Transfer', 'Payment')) AS DOUBLE), 0) AS other"""
         + """ FROM fact f JOIN dim_customers c ON f.customer_id = c.customer_id GROUP BY account_type""",
         "chart5_anomaly_rate": f"""{_STAR} SELECT tx_year, tx_month, COUNT(*) AS total,
             COUNT(*) FILTER (is_anomaly) AS anomalies, {_PERIOD} AS period,

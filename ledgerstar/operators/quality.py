@@ -109,7 +109,7 @@ def amount_stats(profiled: DataFrame) -> DataFrame:
         "amount_min",
         "amount_max",
         f"{money.mean_dollars(total, 'amount_count', 6)} AS amount_mean",
-        "amount_stddev",
+        "round(amount_stddev, 6) AS amount_stddev",
     )
 
 

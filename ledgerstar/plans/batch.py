@@ -74,7 +74,7 @@ def run(
     processed = f"{base}/processed/fact_transactions"
     write_parquet(cleanse(transactions), processed, PROCESSED_PARTITIONS)
 
-    staged = {field.name: field.dataType.typeName() for field in transactions.schema}
+    staged = {field.name: field.dataType.jsonValue() for field in transactions.schema}
     schemas = table_schemas(staged["customer_id"], staged["transaction_date"])
     build_star(spark, base, as_of, schemas)
     outputs = report(spark, base, files.load_star(spark, f"{base}/warehouse", schemas))
@@ -127,9 +127,10 @@ def check_quality(spark: SparkSession, base: str, fail_on: tuple[str, ...] = ())
         *[partial(write_json, frame, f"{folder}/{name}") for name, frame in findings.items()]
     )
     if fail_on:
-        failed = checks.filter(F.col("check").isin(*fail_on) & (F.col("status") != "PASS"))
-        names = [row["check"] for row in failed.select("check").collect()]  # one row per check
-        if names:
+        statuses = {row["check"]: row["status"] for row in checks.collect()}  # one row per check
+        if unknown := set(fail_on) - set(statuses):
+            raise ValueError(f"no such checks: {', '.join(sorted(unknown))}")
+        if names := [name for name in fail_on if statuses[name] != "PASS"]:
             raise QualityError(", ".join(sorted(names)))
 
 
@@ -186,6 +187,7 @@ def report(
         "dashboard/type_distribution": charts.type_distribution(activity),
         "dashboard/top_customers": charts.top_customers(spending),
         "dashboard/account_pivot": charts.account_pivot(spending),
+        "dashboard/account_revenue": charts.account_revenue(spending),
         "dashboard/anomaly_rate": charts.anomaly_rate(activity),
         "dashboard/heatmap": charts.heatmap(activity),
         "dashboard/kpi_summary": charts.kpi_summary(activity, star["dim_customers"]),

@@ -20,6 +20,7 @@ from ledgerstar.operators.rollups import (
     rollup,
 )
 from ledgerstar.plans.reports import by_customer
+from ledgerstar.schemas import TRANSACTION_TYPES
 
 DAYS, HOURS = 7, 24
 PERIOD = calendar.period_label("tx_year", "tx_month")
@@ -75,13 +76,18 @@ def top_customers(
     )
 
 
-def account_revenue(spending: DataFrame, customers: DataFrame | None = None) -> DataFrame:
-    """Revenue per account type and transaction type, one row per pair."""
+def _cells(spending: DataFrame, customers: DataFrame | None) -> DataFrame:
+    """A rollup per account type and transaction type."""
     if customers is not None:
         spending = customers.select("customer_id", "account_type").join(
             rollup(spending, "customer_id", "transaction_type"), "customer_id"
         )
-    return rollup(spending, "account_type", "transaction_type").selectExpr(
+    return rollup(spending, "account_type", "transaction_type")
+
+
+def account_revenue(spending: DataFrame, customers: DataFrame | None = None) -> DataFrame:
+    """Revenue per account type and transaction type, one row per pair."""
+    return _cells(spending, customers).selectExpr(
         "account_type", "transaction_type", f"{REVENUE} AS revenue"
     )
 
@@ -89,21 +95,24 @@ def account_revenue(spending: DataFrame, customers: DataFrame | None = None) ->
 def account_pivot(
     spending: DataFrame,
     customers: DataFrame | None = None,
-    types: Sequence[str] | None = None,
+    types: Sequence[str] = TRANSACTION_TYPES,
 ) -> DataFrame:
     """Account types by transaction types, zero where there is no revenue.
 
-    Without ``types`` there is a column for every type observed, which Spark finds in a job of
-    its own; use that on a written rollup. With ``types`` only those get a column, and the
-    plan stays lazy.
+    There is a column for each of ``types``, and ``other`` for every other and for null types, so each
+    row adds up to the account's revenue whatever the types in the data. Null account types are
+    a row. Cents are summed, so the result does not depend on the order of tasks.
     """
-    cells = account_revenue(spending, customers).dropna(
-        subset=["account_type", "transaction_type"]
+    cells = _cells(spending, customers).selectExpr("account_type", "transaction_type", f"{TOTAL_CENTS} AS cents")
+    listed = F.coalesce(F.col("transaction_type").isin(*types), F.lit(False))
+    tests = {name: F.col("transaction_type").eqNullSafe(name) for name in types} | {"other": ~listed}
+    sums = cells.groupBy("account_type").agg(
+        *[F.sum(F.when(test, F.col("cents"))).alias(name) for name, test in tests.items()]
     )
-    pivot = cells.groupBy("account_type").pivot(
-        "transaction_type", None if types is None else list(types)
+    return sums.select(
+        "account_type",
+        *[F.expr(f"coalesce({money.dollars(f'`{name}`')}, 0D)").alias(name) for name in tests],
     )
-    return pivot.agg(F.first("revenue")).na.fill(0.0)
 
 
 def anomaly_rate(activity: DataFrame) -> DataFrame:

@@ -76,7 +76,7 @@ def revenue_by_account(spending: DataFrame, customers: DataFrame | None = None)
             f"{MEAN_AMOUNT} AS avg_amount",
             "people AS unique_customers",
         )
-        .orderBy(F.desc("total_revenue"))
+        .orderBy(F.desc("total_revenue"), "account_type")
     )
 
 
@@ -145,5 +145,5 @@ def tenure_segments(spending: DataFrame, customers: DataFrame | None = None) ->
             "tx_count AS transaction_count",
             f"{REVENUE} AS total_revenue",
         )
-        .orderBy(F.desc("total_revenue"))
+        .orderBy(F.desc("total_revenue"), "tenure_segment")
     )

@@ -42,7 +42,7 @@ def documents(folder):
 
 def test_outputs(spark, finished):
     base, outputs = finished
-    assert len(outputs) == 13
+    assert len(outputs) == 14
     for name, frame in outputs.items():
         written = documents(f"{base}/{name}")
         assert len(written) == frame.count() > 0, name
@@ -119,3 +119,27 @@ def test_lost_rows_are_noticed(spark, finished, tmp_path):
     spark.read.parquet(f"{base}/warehouse/fact_transactions").limit(8).write.mode("overwrite").parquet(fact)
     with pytest.raises(batch.OutputError, match="do not agree"):
         batch.verify(spark, copy)
+
+
+def test_unknown_checks_are_refused(spark, tmp_path):
+    tables = {
+        "customers": customers(spark, {"customer_id": 1}),
+        "transactions": transactions(spark, {}),
+    }
+    with pytest.raises(ValueError, match="no such checks: nonsense"):
+        batch.run(spark, str(tmp_path), fail_on=("nonsense",), tables=tables)
+
+
+def test_decimal_ids(spark, tmp_path):
+    tables = {
+        "customers": customers(spark, {"customer_id": 1}),
+        "transactions": transactions(spark, {}),
+    }
+    wide = {
+        name: frame.withColumn("customer_id", frame["customer_id"].cast("decimal(12,0)"))
+        for name, frame in tables.items()
+    }
+    plain = batch.run(spark, str(tmp_path / "plain"), tables=tables)
+    found = batch.run(spark, str(tmp_path / "wide"), tables=wide)
+    name = "analytics/revenue_by_account"
+    assert found[name].collect() == plain[name].collect()

@@ -174,20 +174,17 @@ def test_top_customers_chart(spark, star, inputs):
 
 
 def test_account_pivot(spark, star, inputs):
-    known = "WHERE account_type IS NOT NULL AND transaction_type IS NOT NULL"
-    types = ["Deposit", "Fee", "Payment", "Transfer", "Withdrawal"]
-    columns = ", ".join(
-        f"CAST(COALESCE(SUM(IF(transaction_type = '{t}', CAST(amount AS DECIMAL(18,2)), NULL)), 0) AS DOUBLE) {t}"
-        for t in types
-    )
-    expected = spark.sql(f"SELECT account_type, {columns} {JOINED} {known} GROUP BY account_type")
-    observed = charts.account_pivot(*inputs[1])
-    assert observed.columns == ["account_type", *types]
-    same(observed, expected)
-    same(
-        charts.account_pivot(*inputs[1], types=["Fee"]),
-        expected.select("account_type", "Fee"),
-    )
+    def total(test):
+        return f"CAST(COALESCE(SUM(IF({test}, CAST(amount AS DECIMAL(18,2)), NULL)), 0) AS DOUBLE)"
+
+    for types in (["Deposit", "Withdrawal", "Transfer", "Payment"], ["Fee"]):
+        listed = ", ".join(f"'{t}'" for t in types)
+        columns = [f"{total(f"transaction_type = '{t}'")} {t}" for t in types]
+        columns.append(f"{total(f'transaction_type IS NULL OR transaction_type NOT IN ({listed})')} other")
+        expected = spark.sql(f"SELECT account_type, {', '.join(columns)} {JOINED} GROUP BY account_type")
+        observed = charts.account_pivot(*inputs[1], types=types)
+        assert observed.columns == ["account_type", *types, "other"]
+        same(observed, expected)
 
 
 def test_account_revenue(spark, star, inputs):
