@@ -28,12 +28,16 @@ except ModuleNotFoundError as error:  # the subpackage can be left out; nothing
         raise
     corpus_pipeline = corpus_queries = None
 
+MULTI_LINE_ROWS = 2_000  # a file, of texts that may be long
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 RAW = raw_schemas(fx.CUSTOMER_ID, fx.TIMESTAMP)
 TABLES = table_schemas(fx.CUSTOMER_ID, fx.TIMESTAMP)
 
-CHECK_COLUMNS = ("check", "status", "bad_count")
+# Check rows with their figures as one text, in the order of names
+FIGURES = "transform(array_sort(map_entries(details)), x -> x.key || '=' || x.value)"
+CHECK_COLUMNS = ("check", "status", "bad_count", f"array_join({FIGURES}, ',') AS details")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -112,14 +116,14 @@ def _constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = quality.constraint_report(
         fx.transactions(spark, sf_dir), fx.customers(spark, sf_dir)
     )
-    return checks.select(*CHECK_COLUMNS)
+    return checks.selectExpr(*CHECK_COLUMNS)
 
 
 def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = quality.reference_report(
         fx.transactions(spark, sf_dir), fx.customers(spark, sf_dir)
     )
-    return checks.select(*CHECK_COLUMNS)
+    return checks.selectExpr(*CHECK_COLUMNS)
 
 
 def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,6 +140,7 @@ def _reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.reconcile(
         quality.profile(fx.transactions(spark, sf_dir)),
         {
+            "raw_customers": fx.customers(spark, sf_dir),
             "processed": fx.processed(spark, sf_dir),
             "fact_transactions": fact,
             "dim_customers": fx.dim_customers(spark, sf_dir),
@@ -156,10 +161,10 @@ def _batch_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sources and sinks: write, then read back -----------------------------------------
 
 
-def _csv(spark: SparkSession, frame: DataFrame, schema) -> DataFrame:
+def _csv(spark: SparkSession, frame: DataFrame, schema, multi_line: bool = False) -> DataFrame:
     path = f"{fx.scratch(spark)}/table.csv"
-    sinks.write_csv(frame, path)
-    return sources.read_csv(spark, path, schema)
+    sinks.write_csv(frame, path, MULTI_LINE_ROWS if multi_line else 0)
+    return sources.read_csv(spark, path, schema, multi_line)
 
 
 def _parquet(spark: SparkSession, frame: DataFrame, schema, partition_by=()) -> DataFrame:
@@ -177,6 +182,12 @@ def _csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _csv(spark, fx.customers(spark, sf_dir), RAW["customers"])
 
 
+def _csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long texts with line breaks; a file is read by one task, so its rows are bounded."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return _csv(spark, documents, documents.schema, multi_line=True)
+
+
 def _csv_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _csv(spark, fx.processed(spark, sf_dir), TABLES["processed"])
 
@@ -215,11 +226,11 @@ def _json_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _json_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _json(spark, _report(fx.transactions(spark, sf_dir))).select(*CHECK_COLUMNS)
+    return _json(spark, _report(fx.transactions(spark, sf_dir))).selectExpr(*CHECK_COLUMNS)
 
 
 def _warehouse_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SQL text over views of the loaded star schema."""
+    """SQL text over views of the loaded star schema; the fact is grouped before it is joined."""
     base = f"{fx.scratch(spark)}/warehouse"
     fact = fx.fact(spark, sf_dir)
     sinks.write_parquet(fact, f"{base}/fact_transactions", FACT_PARTITIONS)
@@ -231,10 +242,13 @@ def _warehouse_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources.register_views(sources.load_star(spark, base, TABLES))
     return spark.sql(
         """
+        WITH f AS (
+          SELECT customer_id, date_key, type_key, COUNT(*) AS n,
+                 SUM(CAST(amount AS DECIMAL(18,2))) AS revenue
+          FROM fact_transactions GROUP BY customer_id, date_key, type_key)
         SELECT d.year, d.month_name, c.account_type, t.type_name,
-               COUNT(*) AS transaction_count,
-               CAST(SUM(CAST(f.amount AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
-        FROM fact_transactions f
+               SUM(f.n) AS transaction_count, CAST(SUM(f.revenue) AS DOUBLE) AS total_revenue
+        FROM f
         JOIN dim_customers c ON f.customer_id = c.customer_id
         JOIN dim_date d ON f.date_key = d.date_key
         LEFT JOIN dim_transaction_type t ON f.type_key = t.type_key
@@ -293,7 +307,7 @@ def _star_queries() -> dict[str, Query]:
         "dq_type_distribution": _on_raw(
             lambda raw: quality.value_counts(quality.distribution(raw), "transaction_type")
         ),
-        "dq_report": _on_raw(lambda raw: _report(raw).select(*CHECK_COLUMNS)),
+        "dq_report": _on_raw(lambda raw: _report(raw).selectExpr(*CHECK_COLUMNS)),
         "dq_constraints": _constraints,
         "dq_fk_integrity": _references,
         "dq_fk_orphans": _orphans,
@@ -302,6 +316,7 @@ def _star_queries() -> dict[str, Query]:
         "batch_run_revenue": _batch_revenue,
         "src_csv_transactions": _csv_transactions,
         "src_csv_customers": _csv_customers,
+        "src_csv_multiline": _csv_multiline,
         "src_parquet_partitioned": _partitioned_scan,
         "src_warehouse": _warehouse_sql,
         "sink_csv": _csv_processed,

@@ -101,44 +101,72 @@ def _domain(column: str, valid: str) -> str:
        COALESCE({column} IN ({valid}), FALSE) AS is_valid FROM tx GROUP BY {column}"""
 
 
+def _figures(**counts: str) -> str:
+    """Named counts as one text; give the names in their order."""
+    return " || ',' || ".join(f"'{name}=' || {count}" for name, count in counts.items())
+
+
+def _key_figures(key: str) -> str:
+    return _figures(nulls=f"(COUNT(*) - COUNT({key}))", repeats=f"(COUNT({key}) - COUNT(DISTINCT {key}))")
+
+
+def _long_figures(**limits: int) -> str:
+    return _figures(**{name: f"COUNT(*) FILTER (length({name}) > {limit})" for name, limit in limits.items()})
+
+
 _VALID_TYPES = "'Deposit', 'Withdrawal', 'Transfer', 'Payment'"
 _VALID_STATUSES = "'Completed', 'Pending', 'Failed'"
 
 _CHECK_ROWS = f"""{_RAW},
 bad AS (
-  SELECT 'record_counts' AS "check", 0 AS bad_count
+  SELECT 'record_counts' AS "check", 0 AS bad_count,
+         {_figures(
+             processed_record_count="COUNT(*) FILTER (status <> 'Failed')",
+             removed="COUNT(*) FILTER (status = 'Failed')",
+             removed_null_status="COUNT(*) FILTER (status IS NULL)",
+             total_raw_records="COUNT(*)",
+         )} AS details FROM tx
   UNION ALL SELECT 'null_critical_columns',
          COUNT(*) FILTER (transaction_id IS NULL OR transaction_id = '')
          + COUNT(*) FILTER (customer_id IS NULL) + COUNT(*) FILTER (amount IS NULL)
-         + COUNT(*) FILTER (transaction_date IS NULL) FROM tx
-  UNION ALL SELECT 'amount_positive', COUNT(*) FILTER (amount <= 0) FROM tx
+         + COUNT(*) FILTER (transaction_date IS NULL),
+         {_figures(
+             amount="COUNT(*) FILTER (amount IS NULL)",
+             customer_id="COUNT(*) FILTER (customer_id IS NULL)",
+             transaction_date="COUNT(*) FILTER (transaction_date IS NULL)",
+             transaction_id="COUNT(*) FILTER (transaction_id IS NULL OR transaction_id = '')",
+         )} FROM tx
+  UNION ALL SELECT 'amount_positive', COUNT(*) FILTER (amount <= 0), '' FROM tx
   UNION ALL SELECT 'unique_transaction_ids', COUNT(*) - COUNT(DISTINCT transaction_id)
-         - CASE WHEN COUNT(*) > COUNT(transaction_id) THEN 1 ELSE 0 END FROM tx
-  UNION ALL SELECT 'valid_transaction_type', COUNT(*) FROM
+         - CASE WHEN COUNT(*) > COUNT(transaction_id) THEN 1 ELSE 0 END, '' FROM tx
+  UNION ALL SELECT 'valid_transaction_type', COUNT(*), {_figures(distinct_invalid="COUNT(*)")} FROM
          (SELECT DISTINCT transaction_type FROM tx) WHERE transaction_type IS NULL
          OR transaction_type NOT IN ({_VALID_TYPES})
-  UNION ALL SELECT 'valid_status', COUNT(*) FROM
+  UNION ALL SELECT 'valid_status', COUNT(*), {_figures(distinct_invalid="COUNT(*)")} FROM
          (SELECT DISTINCT status FROM tx) WHERE status IS NULL
          OR status NOT IN ({_VALID_STATUSES})),
 everything AS (
-  SELECT * FROM bad UNION ALL SELECT 'overall', COUNT(*) FILTER (bad_count > 0) FROM bad)
-SELECT "check", {_STATUS.format('bad_count')} AS status, CAST(bad_count AS BIGINT) AS bad_count
+  SELECT * FROM bad UNION ALL SELECT 'overall', COUNT(*) FILTER (bad_count > 0), '' FROM bad)
+SELECT "check", {_STATUS.format('bad_count')} AS status, CAST(bad_count AS BIGINT) AS bad_count, details
 FROM everything"""
 
 _CONSTRAINT_ROWS = f"""{_RAW},
 bad AS (
-  SELECT 'transactions_primary_key' AS "check", COUNT(*) - COUNT(DISTINCT transaction_id) AS bad_count FROM tx
-  UNION ALL SELECT 'customers_primary_key', COUNT(*) - COUNT(DISTINCT customer_id) FROM cust
-  UNION ALL SELECT 'customers_unique_email', COUNT(email) - COUNT(DISTINCT email) FROM cust
+  SELECT 'transactions_primary_key' AS "check", COUNT(*) - COUNT(DISTINCT transaction_id) AS bad_count,
+         {_key_figures('transaction_id')} AS details FROM tx
+  UNION ALL SELECT 'customers_primary_key', COUNT(*) - COUNT(DISTINCT customer_id), {_key_figures('customer_id')} FROM cust
+  UNION ALL SELECT 'customers_unique_email', COUNT(email) - COUNT(DISTINCT email), '' FROM cust
   UNION ALL SELECT 'transactions_text_lengths', COUNT(*) FILTER (length(transaction_id) > 36)
-         + COUNT(*) FILTER (length(transaction_type) > 20) + COUNT(*) FILTER (length(status) > 20) FROM tx
-  UNION ALL SELECT 'transactions_amount_range', COUNT(*) FILTER (abs(round(amount, 2)) >= 100000000) FROM tx
+         + COUNT(*) FILTER (length(transaction_type) > 20) + COUNT(*) FILTER (length(status) > 20),
+         {_long_figures(status=20, transaction_id=36, transaction_type=20)} FROM tx
+  UNION ALL SELECT 'transactions_amount_range', COUNT(*) FILTER (abs(round(amount, 2)) >= 100000000), '' FROM tx
   UNION ALL SELECT 'customers_text_lengths', COUNT(*) FILTER (length(first_name) > 50)
          + COUNT(*) FILTER (length(last_name) > 50) + COUNT(*) FILTER (length(email) > 100)
-         + COUNT(*) FILTER (length(phone_number) > 20) + COUNT(*) FILTER (length(account_type) > 20) FROM cust),
+         + COUNT(*) FILTER (length(phone_number) > 20) + COUNT(*) FILTER (length(account_type) > 20),
+         {_long_figures(account_type=20, email=100, first_name=50, last_name=50, phone_number=20)} FROM cust),
 everything AS (
-  SELECT * FROM bad UNION ALL SELECT 'overall', COUNT(*) FILTER (bad_count > 0) FROM bad)
-SELECT "check", {_STATUS.format('bad_count')} AS status, CAST(bad_count AS BIGINT) AS bad_count
+  SELECT * FROM bad UNION ALL SELECT 'overall', COUNT(*) FILTER (bad_count > 0), '' FROM bad)
+SELECT "check", {_STATUS.format('bad_count')} AS status, CAST(bad_count AS BIGINT) AS bad_count, details
 FROM everything"""
 
 _RECONCILED = f"""{_STAR}
@@ -146,6 +174,7 @@ SELECT 'raw_transactions' AS stage, COUNT(*) AS row_count FROM tx
 UNION ALL SELECT 'kept', COUNT(*) FROM tx WHERE status <> 'Failed'
 UNION ALL SELECT 'removed', COUNT(*) FROM tx WHERE status = 'Failed'
 UNION ALL SELECT 'removed_null_status', COUNT(*) FROM tx WHERE status IS NULL
+UNION ALL SELECT 'raw_customers', COUNT(*) FROM cust
 UNION ALL SELECT 'processed', COUNT(*) FROM clean
 UNION ALL SELECT 'fact_transactions', COUNT(*) FROM fact
 UNION ALL SELECT 'dim_customers', COUNT(*) FROM dim_customers
@@ -268,7 +297,8 @@ def oracle_sql() -> dict[str, str]:
         "sink_quality_report": _CHECK_ROWS,
         "dq_constraints": _CONSTRAINT_ROWS,
         "dq_fk_integrity": f"""{_RAW} SELECT 'customer_id_reference' AS "check",
-            {_STATUS.format('COUNT(*)')} AS status, COUNT(*) AS bad_count
+            {_STATUS.format('COUNT(*)')} AS status, COUNT(*) AS bad_count,
+            {_figures(missing_keys="COUNT(DISTINCT customer_id)")} AS details
             FROM tx WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM cust)""",
         "dq_fk_orphans": """SELECT o_orderkey, COUNT(*) AS row_count FROM orders
             WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) GROUP BY o_orderkey""",
@@ -277,6 +307,7 @@ def oracle_sql() -> dict[str, str]:
         "batch_run_revenue": _Q2,
         "src_csv_transactions": _TX_ROWS,
         "src_csv_customers": _CUSTOMER_ROWS,
+        "src_csv_multiline": "SELECT doc_id, NULLIF(text, '') AS text, lang, source, n_chars FROM documents",
         "sink_csv": _CLEAN_ROWS,
         "sink_parquet": _DIM_CUSTOMER_ROWS,
         "sink_parquet_by_type": _CLEAN_ROWS,

@@ -1,9 +1,10 @@
 """Data-quality checks on raw tables.
 
-Whatever the number of checks, a transaction table is read three times: one global aggregate
-(:func:`profile`), one small group-by (:func:`distribution`) and one shuffle by id
-(:func:`duplicates`). The first two shuffle a row per task or value. The last is apart since a
-distinct count beside plain aggregates would shuffle all of them per id.
+Whatever the number of checks, a transaction table is read four times (:func:`passes`): one global
+aggregate (:func:`profile`), one small group-by (:func:`distribution`), one shuffle by id
+(:func:`duplicates`) and one of the customers in use (:func:`lost_references`). The first two shuffle
+a row per task or value. The third is apart since a distinct count beside plain aggregates would
+shuffle all of them per id.
 
 Checks are rows of ``check, status, bad_count, details``; they report and never stop a run.
 """
@@ -28,6 +29,23 @@ from ledgerstar.schemas import (
 
 DOMAINS = {"transaction_type": TRANSACTION_TYPES, "status": STATUSES}
 
+# Names of the rows of full_report
+CHECKS = (
+    "record_counts",
+    "null_critical_columns",
+    "amount_positive",
+    "unique_transaction_ids",
+    *[f"valid_{name}" for name in DOMAINS],
+    "transactions_primary_key",
+    "customers_primary_key",
+    "customers_unique_email",
+    "transactions_text_lengths",
+    "transactions_amount_range",
+    "customers_text_lengths",
+    "customer_id_reference",
+    "overall",
+)
+
 
 # Passes over the data ------------------------------------------------------------
 
@@ -37,7 +55,11 @@ def profile(
     critical: Sequence[str] = CRITICAL_COLUMNS,
     removed_status: str = REMOVED_STATUS,
 ) -> DataFrame:
-    """One row with all counts and amount statistics. Unused columns are pruned by Catalyst."""
+    """One row with all counts and amount statistics. Unused columns are pruned by Catalyst.
+
+    ``long_<column>`` counts texts beyond their declared length, ``amount_beyond_limit`` amounts beyond
+    DECIMAL(10,2).
+    """
     rounded = "CAST(round(amount, 2) AS DOUBLE)"
     removed = F.col("status") == removed_status
     return transactions.agg(
@@ -53,18 +75,63 @@ def profile(
         F.expr(f"{money.sum_blocks(rounded)} AS amount_blocks"),
         F.expr(f"{money.sum_rest(rounded)} AS amount_rest"),
         F.expr(f"stddev_samp({rounded}) AS amount_stddev"),
+        *_long_texts(transactions, TRANSACTION_LENGTHS),
+        F.expr(f"count_if(abs(round(amount, 2)) >= {AMOUNT_LIMIT}) AS amount_beyond_limit"),
     )
 
 
+def customer_profile(customers: DataFrame) -> DataFrame:
+    """One row with the texts of each column that are beyond their declared length."""
+    return customers.agg(*_long_texts(customers, CUSTOMER_LENGTHS))
+
+
 def distribution(transactions: DataFrame) -> DataFrame:
     """Row counts per transaction type and status."""
     return transactions.groupBy("transaction_type", "status").agg(F.expr("count(*) AS row_count"))
 
 
 def duplicates(frame: DataFrame, *keys: str) -> DataFrame:
-    """One row with the rows beyond the first of each key; null keys count as one value."""
-    repeats = frame.groupBy(*keys).agg(F.expr("count(*) - 1 AS extra"))
-    return repeats.agg(F.expr("coalesce(sum(extra), 0L) AS duplicate_count"))
+    """One row on repeated keys: ``duplicate_count`` has the rows beyond the first of each key.
+
+    There null keys count as one value. ``repeats`` leaves out keys with a null in any column, and
+    ``nulls`` has the rows with such a key; a primary key allows neither.
+    """
+    null = " OR ".join(f"{key} IS NULL" for key in keys)
+    return frame.groupBy(*keys).agg(F.expr("count(*) AS n")).agg(
+        F.expr("coalesce(sum(n - 1), 0L) AS duplicate_count"),
+        F.expr(f"coalesce(sum(n - 1) FILTER (WHERE NOT ({null})), 0L) AS repeats"),
+        F.expr(f"coalesce(sum(n) FILTER (WHERE {null}), 0L) AS nulls"),
+    )
+
+
+def orphans(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
+    """Rows per foreign key without a parent row; null keys are exempt.
+
+    Both sides are reduced to one row per key before the join, so a key that holds a third of
+    either is one row there. Their shuffles serve the join as well.
+    """
+    counted = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.expr("count(*) AS row_count"))
+    return counted.join(parent.select(key).distinct(), key, "left_anti")
+
+
+def lost_references(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
+    """One row with the rows whose parent is missing, and how many keys they carry."""
+    return orphans(child, parent, key).agg(
+        F.expr("coalesce(sum(row_count), 0L) AS lost_rows"), F.expr("count(*) AS missing_keys")
+    )
+
+
+def passes(transactions: DataFrame, customers: DataFrame) -> dict[str, DataFrame]:
+    """Everything that :func:`full_report` needs; write these down and pass what is read back."""
+    return {
+        "profile": profile(transactions),
+        "distribution": distribution(transactions),
+        "duplicates": duplicates(transactions, "transaction_id"),
+        "references": lost_references(transactions, customers),
+        "customers": customer_profile(customers),
+        "customer_ids": duplicates(customers, "customer_id"),
+        "emails": duplicates(customers.filter("email IS NOT NULL"), "email"),
+    }
 
 
 # Single checks -------------------------------------------------------------------
@@ -123,7 +190,26 @@ def quality_report(
     critical: Sequence[str] = CRITICAL_COLUMNS,
     domains: Mapping[str, Sequence[str]] = DOMAINS,
 ) -> DataFrame:
-    """All checks and, in a last row, whether all of them passed.
+    """All checks of transactions and, in a last row, whether all of them passed."""
+    return with_overall(quality_checks(profiled, distributed, duplicated, critical, domains))
+
+
+def full_report(found: Mapping[str, DataFrame]) -> DataFrame:
+    """All checks, declared constraints and references of :func:`passes`, and whether all passed."""
+    checks = quality_checks(found["profile"], found["distribution"], found["duplicates"])
+    return with_overall(
+        checks.unionByName(constraint_checks(found)).unionByName(reference_check(found["references"]))
+    )
+
+
+def quality_checks(
+    profiled: DataFrame,
+    distributed: DataFrame,
+    duplicated: DataFrame,
+    critical: Sequence[str] = CRITICAL_COLUMNS,
+    domains: Mapping[str, Sequence[str]] = DOMAINS,
+) -> DataFrame:
+    """The checks of transactions, one row each.
 
     Invalid values are counted here; :func:`domain_values` lists them, one row each, since
     there may be any number of them.
@@ -149,7 +235,7 @@ def quality_report(
         domain_values(distributed, domains).agg(*invalid.values()),
         *[_check(f"valid_{name}", name, {"distinct_invalid": name}) for name in domains],
     )
-    return with_overall(columns.unionByName(ids).unionByName(values))
+    return columns.unionByName(ids).unionByName(values)
 
 
 def domain_values(
@@ -175,35 +261,35 @@ def domain_values(
 
 def constraint_report(transactions: DataFrame, customers: DataFrame) -> DataFrame:
     """Declared column constraints: primary keys, unique email, text lengths, amount range."""
-    emails = duplicates(customers.filter("email IS NOT NULL"), "email")
+    return with_overall(constraint_checks(passes(transactions, customers)))
+
+
+def constraint_checks(found: Mapping[str, DataFrame]) -> DataFrame:
+    """The declared constraints, one row each, from the shared :func:`passes`."""
+    keys = {"repeats": "repeats", "nulls": "nulls"}
     checks, *rest = [
-        _key_violations(transactions, "transaction_id", "transactions_primary_key"),
-        _key_violations(customers, "customer_id", "customers_primary_key"),
-        _checks(emails, _check("customers_unique_email", "duplicate_count")),
-        _limit_violations(transactions, TRANSACTION_LENGTHS, "transactions", "amount"),
-        _limit_violations(customers, CUSTOMER_LENGTHS, "customers"),
+        _checks(found["duplicates"], _check("transactions_primary_key", "repeats + nulls", keys)),
+        _checks(found["customer_ids"], _check("customers_primary_key", "repeats + nulls", keys)),
+        _checks(found["emails"], _check("customers_unique_email", "repeats")),
+        _checks(
+            found["profile"],
+            _length_check("transactions", TRANSACTION_LENGTHS),
+            _check("transactions_amount_range", "amount_beyond_limit"),
+        ),
+        _checks(found["customers"], _length_check("customers", CUSTOMER_LENGTHS)),
     ]
     for more in rest:
         checks = checks.unionByName(more)
-    return with_overall(checks)
-
-
-def orphans(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Rows per foreign key without a parent row; null keys are exempt.
-
-    Both sides are reduced to one row per key before the join, so a key that holds a third of
-    either is one row there. Their shuffles serve the join as well.
-    """
-    counted = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.expr("count(*) AS row_count"))
-    return counted.join(parent.select(key).distinct(), key, "left_anti")
+    return checks
 
 
 def reference_report(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
     """Foreign-key check: rows whose parent is missing, and how many keys they carry."""
-    lost = orphans(child, parent, key).agg(
-        F.expr("coalesce(sum(row_count), 0L) AS bad"), F.expr("count(*) AS keys")
-    )
-    return _checks(lost, _check(f"{key}_reference", "bad", {"missing_keys": "keys"}))
+    return reference_check(lost_references(child, parent, key), key)
+
+
+def reference_check(lost: DataFrame, key: str = "customer_id") -> DataFrame:
+    return _checks(lost, _check(f"{key}_reference", "lost_rows", {"missing_keys": "missing_keys"}))
 
 
 def with_overall(checks: DataFrame) -> DataFrame:
@@ -247,24 +333,15 @@ def _checks(one_row: DataFrame, *checks: str) -> DataFrame:
     return one_row.selectExpr(f"inline(array({', '.join(checks)}))")
 
 
-def _key_violations(frame: DataFrame, key: str, name: str) -> DataFrame:
-    """Rows that break a primary key: repeats of a value, and every null."""
-    counted = frame.groupBy(key).agg(F.expr("count(*) AS n")).agg(
-        F.expr(f"coalesce(sum(n - 1) FILTER (WHERE {key} IS NOT NULL), 0L) AS repeats"),
-        F.expr(f"coalesce(sum(n) FILTER (WHERE {key} IS NULL), 0L) AS nulls"),
-    )
-    return _checks(counted, _check(name, "repeats + nulls", {"repeats": "repeats", "nulls": "nulls"}))
+def _long_texts(frame: DataFrame, lengths: Mapping[str, int]) -> list[Column]:
+    """Texts beyond their declared length; columns of another type have none."""
+    texts = {name for name in lengths if isinstance(frame.schema[name].dataType, StringType)}
+    return [
+        F.expr(f"count_if({f'length({name}) > {limit}' if name in texts else 'false'}) AS long_{name}")
+        for name, limit in lengths.items()
+    ]
 
 
-def _limit_violations(
-    frame: DataFrame, lengths: Mapping[str, int], table: str, amount: str | None = None
-) -> DataFrame:
-    """Texts beyond their declared length and, if named, amounts beyond DECIMAL(10,2): one pass."""
-    bad = [F.expr(f"count_if(length({name}) > {limit}) AS {name}") for name, limit in lengths.items()]
-    checks = [
-        _check(f"{table}_text_lengths", " + ".join(lengths), {name: name for name in lengths})
-    ]
-    if amount is not None:
-        bad.append(F.expr(f"count_if(abs(round({amount}, 2)) >= {AMOUNT_LIMIT}) AS {amount}"))
-        checks.append(_check(f"{table}_{amount}_range", amount))
-    return _checks(frame.agg(*bad), *checks)
+def _length_check(table: str, lengths: Mapping[str, int]) -> str:
+    long = {name: f"long_{name}" for name in lengths}
+    return _check(f"{table}_text_lengths", " + ".join(long.values()), long)

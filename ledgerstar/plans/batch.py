@@ -2,7 +2,7 @@
 
 Every stage ends in a written table, and the next one reads it back. A lost executor thus
 costs the tasks it ran, and a failed run leaves nothing cached. The big table is read once for
-each of: staging, three quality passes, cleansing, the fact, and two rollups. All reports come
+each of: staging, four quality passes, cleansing, the fact, and two rollups. All reports come
 from the rollups. Writes that do not depend on each other are submitted together, so that the
 last tasks of one leave no executor idle.
 """
@@ -41,10 +41,13 @@ class OutputError(Exception):
     """An output is missing, or the row counts of two stages do not agree."""
 
 
-def land(tables: Mapping[str, DataFrame], base: str) -> None:
-    """Write extracted tables to the landing zone."""
+def land(tables: Mapping[str, DataFrame], base: str, rows_per_file: int = 1_000_000) -> None:
+    """Write extracted tables to the landing zone.
+
+    Text with quoted line breaks is parsed by one task per file, so the rows of a file are bounded.
+    """
     for name, frame in tables.items():
-        write_csv(frame, f"{base}/raw/raw_{name}.csv")
+        write_csv(frame, f"{base}/raw/raw_{name}.csv", rows_per_file)
 
 
 def run(
@@ -55,16 +58,19 @@ def run(
     tables: Mapping[str, DataFrame] | None = None,
     customer_id: str = "integer",
     timestamp: str = "timestamp",
+    multi_line: bool = True,
 ) -> dict[str, DataFrame]:
     """Process the landing zone below ``base``; returns the reports and chart datasets.
 
     With ``tables`` (``customers`` and ``transactions`` from any source) these are taken instead
-    of landed text, which is then neither needed nor parsed. The last two arguments are the
-    types that landed text is read with. Failed quality checks are reported and do not stop the
-    run, unless named in ``fail_on``.
+    of landed text, which is then neither needed nor parsed. ``customer_id`` and ``timestamp`` are
+    the types that landed text is read with. ``multi_line`` allows quoted line breaks in it; without
+    them, ``False`` lets Spark split large files. Failed quality checks are reported and do not
+    stop the run, unless named in ``fail_on``.
     """
+    refuse_unknown(fail_on)
     if tables is None:
-        stage_landed(spark, base, customer_id, timestamp)
+        stage_landed(spark, base, customer_id, timestamp, multi_line)
     else:
         writes = {f"{base}/staged/{name}": tables[name] for name in raw_schemas()}
         write_all(*[partial(write_parquet, frame, path) for path, frame in writes.items()])
@@ -89,11 +95,14 @@ def write_all(*writes: Callable[[], None]) -> None:
             done.result()
 
 
-def stage_landed(spark: SparkSession, base: str, customer_id: str, timestamp: str) -> None:
+def stage_landed(
+    spark: SparkSession, base: str, customer_id: str, timestamp: str, multi_line: bool = True
+) -> None:
     """Parse the landed text once, into columns; rows with malformed cells are also set aside."""
 
     def stage_table(name: str, schema: StructType) -> None:
-        landed = files.read_csv(spark, f"{base}/raw/raw_{name}.csv", schema, keep_corrupt=True)
+        path = f"{base}/raw/raw_{name}.csv"
+        landed = files.read_csv(spark, path, schema, multi_line, keep_corrupt=True)
         staged = f"{base}/staged/{name}"
         write_parquet(landed, staged)
         write_json(files.corrupt_rows(spark.read.parquet(staged)), f"{base}/rejected/{name}")
@@ -102,34 +111,34 @@ def stage_landed(spark: SparkSession, base: str, customer_id: str, timestamp: st
     write_all(*[partial(stage_table, name, schema) for name, schema in schemas.items()])
 
 
+def refuse_unknown(checks: tuple[str, ...]) -> None:
+    if unknown := set(checks) - set(quality.CHECKS):
+        raise ValueError(f"no such checks: {', '.join(sorted(unknown))}")
+
+
 def check_quality(spark: SparkSession, base: str, fail_on: tuple[str, ...] = ()) -> None:
-    """Run the checks on the staged transactions and write their findings."""
-    staged = spark.read.parquet(f"{base}/staged/transactions")
-    passes = {
-        "profile": quality.profile(staged),
-        "distribution": quality.distribution(staged),
-        "duplicates": quality.duplicates(staged, "transaction_id"),
-    }
+    """Run the checks on the staged tables and write their findings."""
+    refuse_unknown(fail_on)
+    passes = quality.passes(
+        spark.read.parquet(f"{base}/staged/transactions"),
+        spark.read.parquet(f"{base}/staged/customers"),
+    )
     folder = f"{base}/quality"
     write_all(
         *[partial(write_parquet, frame, f"{folder}/passes/{name}") for name, frame in passes.items()]
     )
-    profiled, distributed, duplicated = (
-        spark.read.parquet(f"{folder}/passes/{name}") for name in passes
-    )
-    checks = quality.quality_report(profiled, distributed, duplicated)
+    found = {name: spark.read.parquet(f"{folder}/passes/{name}") for name in passes}
+    checks = quality.full_report(found)
     findings = {
         "report": checks,
-        "domain_values": quality.domain_values(distributed),
-        "amount_stats": quality.amount_stats(profiled),
+        "domain_values": quality.domain_values(found["distribution"]),
+        "amount_stats": quality.amount_stats(found["profile"]),
     }
     write_all(
         *[partial(write_json, frame, f"{folder}/{name}") for name, frame in findings.items()]
     )
     if fail_on:
         statuses = {row["check"]: row["status"] for row in checks.collect()}  # one row per check
-        if unknown := set(fail_on) - set(statuses):
-            raise ValueError(f"no such checks: {', '.join(sorted(unknown))}")
         if names := [name for name in fail_on if statuses[name] != "PASS"]:
             raise QualityError(", ".join(sorted(names)))
 
@@ -190,6 +199,7 @@ def report(
         "dashboard/account_revenue": charts.account_revenue(spending),
         "dashboard/anomaly_rate": charts.anomaly_rate(activity),
         "dashboard/heatmap": charts.heatmap(activity),
+        "dashboard/undated": charts.undated(activity),
         "dashboard/kpi_summary": charts.kpi_summary(activity, star["dim_customers"]),
     }
     write_all(*[partial(write_json, frame, f"{base}/{name}") for name, frame in outputs.items()])
@@ -238,7 +248,7 @@ def verify(spark: SparkSession, base: str, landed: bool = True) -> DataFrame:
     }
     texts = {name: f"{base}/raw/raw_{name}.csv" for name in raw_schemas()} if landed else {}
     schemas = table_schemas()  # lets an output be empty; counting reads none of the columns
-    stages, missing = {}, []
+    stages, missing = {"raw_customers": spark.read.parquet(f"{base}/staged/customers")}, []
     for name, path in {**texts, **paths}.items():
         try:
             if name in texts:
@@ -259,6 +269,7 @@ def verify(spark: SparkSession, base: str, landed: bool = True) -> DataFrame:
     if not (
         rows["raw_transactions"] == kept_and_removed
         and rows["kept"] == rows["processed"] == rows["fact_transactions"]
+        and rows["raw_customers"] == rows["dim_customers"]
     ):
         raise OutputError(f"row counts do not agree: {rows}")
     return counts

@@ -131,6 +131,11 @@ def anomaly_rate(activity: DataFrame) -> DataFrame:
     )
 
 
+def undated(activity: DataFrame) -> DataFrame:
+    """One row with the transactions that have no date, and so no cell in :func:`heatmap`."""
+    return rollup(activity.filter("tx_day_of_week IS NULL OR tx_hour IS NULL")).na.fill(0).select("tx_count")
+
+
 def heatmap(activity: DataFrame) -> DataFrame:
     """Transactions per day of week and hour: all 168 cells, zeros included.
 

@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame
 from ledgerstar.sources.files import CSV_OPTIONS
 
 
-def write_csv(frame: DataFrame, path: str) -> None:
-    """CSV with a header; white space at the ends of text is kept."""
+def write_csv(frame: DataFrame, path: str, rows_per_file: int = 0) -> None:
+    """CSV with a header; white space at the ends of text is kept. Zero rows a file: no bound."""
     options = {
         **CSV_OPTIONS,
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
+        "maxRecordsPerFile": rows_per_file,
     }
     frame.write.mode("overwrite").options(**options).csv(path)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DecimalType, IntegralType, StringType, StructField, StructType
 
 from ledgerstar.schemas import STAR_TABLES, table_schemas
 
@@ -14,6 +14,9 @@ CORRUPT = "_corrupt_record"
 # Quotes are doubled inside quoted text, as spreadsheet tools and data-frame libraries do
 CSV_OPTIONS = {"header": True, "escape": '"'}
 
+# What whole numbers in CSV are parsed as; all of LONG and 18 decimals fit
+WHOLE = DecimalType(38, 18)
+
 
 def read_csv(
     spark: SparkSession,
@@ -27,19 +30,40 @@ def read_csv(
     Columns are read by position; a header that does not name them as the schema does is an
     error, rather than values in the wrong column.
 
-    With ``keep_corrupt`` the source line of each such row is kept in ``_corrupt_record``;
-    write that frame before looking for corrupt rows. ``multi_line`` allows line breaks inside
-    quoted text, but a file can then no longer be split among tasks.
+    Whole numbers may be written with a zero fraction (``7.0``), as data-frame libraries do with
+    a column that has nulls; any other fraction does not fit.
+
+    With ``keep_corrupt`` the source line of each such row is kept in ``_corrupt_record`` (for a
+    fraction or a number beyond its type, the line put together again); write that frame before
+    looking for corrupt rows. ``multi_line`` allows line breaks inside quoted text, kept as they
+    are; rows must then end in a plain line feed, and a file can no longer be split among tasks.
     """
+    whole = {f.name: f.dataType.simpleString() for f in schema if isinstance(f.dataType, IntegralType)}
+    parsed = [StructField(f.name, WHOLE if f.name in whole else f.dataType) for f in schema]
     extra = [StructField(CORRUPT, StringType())] if keep_corrupt else []
-    return (
-        spark.read.schema(StructType([*schema.fields, *extra]))
+    reader = (
+        spark.read.schema(StructType(parsed + extra))
         .options(**CSV_OPTIONS)
         .option("enforceSchema", False)
         .option("multiLine", multi_line)
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
     )
+    if multi_line:
+        reader = reader.option("lineSep", "\n")  # else the parser guesses, and changes \r\n inside text
+    frame = reader.csv(path)
+    if not whole:
+        return frame
+
+    fitted = {
+        name: f"CASE WHEN `{name}` % 1 = 0 THEN try_cast(`{name}` AS {kind}) END"
+        for name, kind in whole.items()
+    }
+    columns = [F.expr(fitted.get(name, f"`{name}`")).alias(name) for name in schema.names]
+    if keep_corrupt:
+        lost = " OR ".join(f"(`{name}` IS NOT NULL AND {fit} IS NULL)" for name, fit in fitted.items())
+        line = F.to_csv(F.struct(*schema.names))
+        columns.append(F.coalesce(CORRUPT, F.when(F.expr(lost), line)).alias(CORRUPT))
+    return frame.select(*columns)
 
 
 def corrupt_rows(kept: DataFrame) -> DataFrame:

@@ -20,8 +20,11 @@ def extract_tables(
     """Whole tables, by name, each read in the slices given for it.
 
     Slices are SQL conditions that between them match every row once; build them with
-    :func:`hash_slices` or :func:`range_slices`. A table without slices is read by one task,
-    which suits only small ones.
+    :func:`number_slices`, :func:`text_slices`, :func:`range_slices` or :func:`hash_slices`. A table
+    without slices is read by one task, which suits only small ones.
+
+    ``fetchsize`` bounds the rows a task holds. MySQL's driver heeds it only with
+    ``useCursorFetch=true`` among the properties or in the URL; without it a task buffers its slice.
     """
     options = {"fetchsize": "10000", **(properties or {})}
     frames = {}
@@ -31,28 +34,52 @@ def extract_tables(
     return frames
 
 
+def number_slices(column: str, lower: int, upper: int, count: int) -> list[str]:
+    """Slices of a numeric key, equally wide between the bounds, for sources with an index on it.
+
+    The outer ones are open, so the bounds decide only how even the slices are; nulls go first.
+    """
+    span = upper - lower
+    return _between(column, [str(cut) for cut in _cuts(lower, span, count)])
+
+
+def text_slices(column: str, bounds: Sequence[str]) -> list[str]:
+    """Slices of a text key between ``bounds``, which ascend in the order of the source's collation.
+
+    For uuids, ``[f"{i:02x}" for i in range(4, 256, 4)]`` gives 64 even slices. Nulls go first.
+    """
+    return _between(column, ["'" + bound.replace("'", "''") + "'" for bound in bounds])
+
+
+def range_slices(column: str, first: datetime.date, last: datetime.date, count: int) -> list[str]:
+    """Slices by date, for sources with an index on it. The outer ones are open; nulls go first."""
+    days = _cuts(0, (last - first).days, count)
+    return _between(column, [f"'{first + datetime.timedelta(days=day)}'" for day in days])
+
+
 def hash_slices(hashed: str, count: int) -> list[str]:
     """Slices by the remainder of a non-negative integer expression of the source dialect.
 
-    Use a hash of a unique key, such as ``CRC32(transaction_id)``: slices are then of equal size
-    however skewed other columns are. Rows where the expression is null go with the first.
+    For keys without an index: every slice scans the whole source table, so ``count`` slices cost
+    ``count`` scans. With a hash of a unique key, such as ``CRC32(transaction_id)``, slices are of
+    equal size however skewed other columns are. Rows where the expression is null go with the first.
     """
     slices = [f"MOD({hashed}, {count}) = {remainder}" for remainder in range(count)]
     slices[0] = f"({slices[0]} OR ({hashed}) IS NULL)"
     return slices
 
 
-def range_slices(column: str, first: datetime.date, last: datetime.date, count: int) -> list[str]:
-    """Slices by date, for sources with an index on it. The outer ones are open; nulls go first."""
-    span = (last - first).days
-    cuts = sorted({first + datetime.timedelta(days=span * step // count) for step in range(1, count)})
+def _cuts(lower: int, span: int, count: int) -> list[int]:
+    return sorted({lower + span * step // count for step in range(1, count)})
+
+
+def _between(column: str, cuts: Sequence[str]) -> list[str]:
+    """Conditions between neighbouring literals, open at both ends; nulls go with the first."""
     if not cuts:
         return ["1 = 1"]
-    middle = [
-        f"{column} >= '{low}' AND {column} < '{high}'" for low, high in zip(cuts, cuts[1:])
-    ]
+    middle = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(cuts, cuts[1:])]
     return [
-        f"({column} < '{cuts[0]}' OR {column} IS NULL)",
+        f"({column} < {cuts[0]} OR {column} IS NULL)",
         *middle,
-        f"{column} >= '{cuts[-1]}'",
+        f"{column} >= {cuts[-1]}",
     ]

@@ -5,6 +5,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from helpers import RAW, customers, rows, transactions
 from ledgerstar.operators import dimensions, facts
@@ -12,7 +13,7 @@ from ledgerstar.operators.cleanse import cleanse
 from ledgerstar.schemas import FACT_PARTITIONS, PROCESSED_PARTITIONS, raw_schemas, table_schemas
 from ledgerstar.sinks import files as sinks
 from ledgerstar.sources import files as sources
-from ledgerstar.sources.jdbc import hash_slices, range_slices
+from ledgerstar.sources.jdbc import hash_slices, number_slices, range_slices, text_slices
 
 TABLES = table_schemas("long", "timestamp")
 
@@ -72,6 +73,22 @@ def test_csv_written_elsewhere(spark, tmp_path):
     assert raw_schemas()["transactions"].names == RAW["transactions"].names
 
 
+def test_csv_whole_numbers(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('i,l,s\n1.0,9223372036854775807,"a, b"\n2147483648,7.00,b\n1.5,-3,c\n,,\nx,1,d\n')
+    schema = StructType.fromDDL("i INT, l BIGINT, s STRING")
+    found = sources.read_csv(spark, str(path), schema, keep_corrupt=True)
+    assert found.schema.simpleString() == "struct<i:int,l:bigint,s:string,_corrupt_record:string>"
+    assert [tuple(r) for r in found.collect()] == [
+        (1, 2**63 - 1, "a, b", None),
+        (None, 7, "b", "2147483648.000000000000000000,7.000000000000000000,b"),
+        (None, -3, "c", "1.500000000000000000,-3.000000000000000000,c"),
+        (None, None, None, None),
+        (None, 1, "d", "x,1,d"),
+    ]
+    assert sources.read_csv(spark, str(path), schema).select("i").collect() == found.select("i").collect()
+
+
 @pytest.mark.parametrize("keep_corrupt", [False, True])
 def test_csv_columns_in_another_order_are_refused(spark, tmp_path, keep_corrupt):
     path = tmp_path / "t.csv"
@@ -182,3 +199,25 @@ def test_range_slices_cover_every_row_once(spark, count):
     assert len(slices) <= count
     total = " + ".join(f"COALESCE(INT({s}), 0)" for s in slices)
     assert [r["n"] for r in frame.selectExpr(f"{total} AS n").distinct().collect()] == [1]
+
+
+@pytest.mark.parametrize("count", [1, 3, 64])
+def test_number_slices_cover_every_row_once(spark, count):
+    frame = spark.range(-500, 900).selectExpr("NULLIF(id, 0) AS k")
+    slices = number_slices("k", 1, 800, count)
+    assert len(slices) == count
+    total = " + ".join(f"COALESCE(INT({s}), 0)" for s in slices)
+    assert [r["n"] for r in frame.selectExpr(f"{total} AS n").distinct().collect()] == [1]
+
+
+@pytest.mark.parametrize("bounds", [[], ["m"], ["40", "80", "c0"], ["0'1", "5"]])
+def test_text_slices_cover_every_row_once(spark, bounds):
+    frame = spark.range(1000).selectExpr("CASE id % 9 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE md5(STRING(id)) END AS k")
+    slices = text_slices("k", [b.replace("'", "") for b in bounds])
+    assert len(slices) == len(bounds) + 1 or not bounds
+    total = " + ".join(f"COALESCE(INT({s}), 0)" for s in slices)
+    assert [r["n"] for r in frame.selectExpr(f"{total} AS n").distinct().collect()] == [1]
+
+
+def test_text_slices_quote_their_bounds():
+    assert text_slices("k", ["o'x"]) == ["(k < 'o''x' OR k IS NULL)", "k >= 'o''x'"]

@@ -72,6 +72,20 @@ def test_checks_share_one_pass(spark):
     assert plan_of(report).count("FileScan") == 3
 
 
+def test_all_checks_read_transactions_four_times(spark):
+    passes = quality.passes(fx.transactions(spark, SF_DIR), fx.customers(spark, SF_DIR))
+    scans = [line for frame in passes.values() for line in plan_of(frame).splitlines() if "FileScan" in line]
+    assert sum("orders.parquet" in line for line in scans) == 4
+
+
+def test_warehouse_query_shuffles_no_fact_row(spark, no_broadcast):
+    """What is shuffled above a scan of the fact has been aggregated."""
+    plan = plan_of(contract.queries()["src_warehouse"](spark, SF_DIR))
+    lines = [x for x in plan.splitlines() if re.search(r"HashAggregate|Exchange hash|FileScan", x)]
+    fact = next(i for i, x in enumerate(lines) if "FileScan" in x and "type_key" in x and "customer_id" in x)
+    assert "partial_count" in lines[fact - 1] and "Exchange hash" in lines[fact - 2]
+
+
 def test_profile_reads_only_what_a_check_needs(spark):
     raw = fx.transactions(spark, SF_DIR)
     schema = re.search(r"FileScan parquet \[(.*?)\]", plan_of(quality.amount_check(quality.profile(raw)))).group(1)
