@@ -15,8 +15,8 @@ import xxhash
 import zstandard
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-GROUP_BYTES = 4 << 20  # texts that a task takes apart at once; a longer text is a group alone
-CACHE = 600_000  # entries of a task's word cache
+GROUP_BYTES = 2 << 20  # texts that a task takes apart at once; a longer text is a group alone
+CACHE = 300_000  # entries of a task's word cache
 
 
 def groups(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
