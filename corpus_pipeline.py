@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerstar.llm import exact, mixing, neardup, packing, quality
-from ledgerstar.scratch import Tables
+from ledgerstar.llm.tables import Tables
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerstar.llm import fuse
-from ledgerstar.scratch import Tables
+from ledgerstar.llm.tables import Tables
 
 WHITE = " \t\n\x0b\x0c\r"
 DIGESTS_PER_FILTER = 20_000

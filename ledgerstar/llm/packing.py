@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerstar.llm import tokens, words as W
-from ledgerstar.scratch import Tables
+from ledgerstar.llm.tables import Tables
 
 CAPACITY = 1024
 END = 2

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerstar.llm import binary, exact, html, lm, mixing, neardup, packing, pii, quality, urls
-from ledgerstar.scratch import Tables
+from ledgerstar.llm.tables import Tables
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
