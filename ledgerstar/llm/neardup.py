@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerstar.llm import words as W
-from ledgerstar.scratch import Tables
+from ledgerstar.llm.tables import Tables
 
 WORDS_PER_SHINGLE = 5
 PERCENT = 80  # similarity from which documents are linked
@@ -39,7 +39,7 @@ HASHES = 180
 BATCH = 36  # signature values compared at a time
 MISS = 1e-5  # chance to give up a pair exactly at the threshold
 BLOCK = 2048  # members of a bucket on either side of one comparison
-BLOCK_BYTES = 64 << 20  # of their sets
+BLOCK_BYTES = 16 << 20  # of their sets
 
 SIGNED = "doc_id long, n_shingles long, rep long, bands array<bigint>, signature binary"
 SETS = "rep long, shingles binary"
@@ -144,13 +144,15 @@ def _sets(batches, size: int) -> Iterator[pa.RecordBatch]:
     """Sets of texts that come partitioned by id, each class once per task."""
     hashes, seen = W.WordHashes(), set()
     for part in W.groups(batches):
+        new: dict[int | None, bytes] = {}
         for x in shingle_sets(W.texts(part.column("text")), size, hashes):
             rep = _rep(x)
             if rep not in seen:
                 seen.add(rep)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([rep], pa.int64()), pa.array([x.tobytes()], pa.binary())], names=["rep", "shingles"]
-                )
+                new[rep] = x.tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(new.keys(), pa.int64()), pa.array(new.values(), pa.binary())], names=["rep", "shingles"]
+        )
 
 
 # Verification -------------------------------------------------------------------------
