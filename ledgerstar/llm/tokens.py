@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 
-ENTRIES = 1_000_000  # pieces that a worker keeps
+ENTRIES = 300_000  # pieces that a worker keeps
 SPACE = "\t-\r \x85\xa0  -     　"  # Unicode's White_Space
 
 # A word takes one space before it; of other white space, all but what the word takes is a piece
