@@ -13,7 +13,8 @@ from functools import lru_cache
 
 import numpy as np
 
-ENTRIES = 300_000  # pieces that a worker keeps
+ENTRIES = 1_000_000  # pieces that a worker keeps
+LEARNT = 10_000  # new pieces encoded at once
 SPACE = "\t-\r \x85\xa0  -     　"  # Unicode's White_Space
 
 # A word takes one space before it; of other white space, all but what the word takes is a piece
@@ -60,11 +61,13 @@ class Encoder:
         new, self.numbers.new = self.numbers.new, []
         if not new:
             return
-        texts = [x.decode() if isinstance(x, bytes) else x for x in new]
-        found = self.tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
-        sizes = np.bincount(np.array(found.word_ids, np.int64), minlength=len(new))
-        self.ids = np.concatenate([self.ids, np.array(found.ids, np.uint16)])
-        self.sizes = np.concatenate([self.sizes, sizes])
+        ids, sizes = [self.ids], [self.sizes]
+        for at in range(0, len(new), LEARNT):
+            texts = [x.decode() if isinstance(x, bytes) else x for x in new[at : at + LEARNT]]
+            found = self.tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(found.ids, np.uint16))
+            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(texts)))
+        self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
 
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and the number of ids of each."""
