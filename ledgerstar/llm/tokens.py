@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 
-ENTRIES = 1_000_000  # pieces that a worker keeps
+ENTRIES = 700_000  # pieces that a worker keeps; beyond that, those met once go
 LEARNT = 10_000  # new pieces encoded at once
 SPACE = "\t-\r \x85\xa0  -     　"  # Unicode's White_Space
 
@@ -56,6 +56,19 @@ class Encoder:
         self.numbers = _Numbers()
         self.ids = np.empty(0, np.uint16)
         self.sizes = np.empty(0, np.int64)
+        self.again = np.empty(0, bool)  # met more than once
+
+    def _forget(self) -> None:
+        """Keep the pieces met more than once, or none where these are most."""
+        if 2 * self.again.sum() > ENTRIES:
+            self._clear()
+            return
+        kept = [x for x, again in zip(self.numbers, self.again.tolist()) if again]
+        self.numbers = _Numbers()
+        self.numbers.update(zip(kept, range(len(kept))))
+        self.ids = self.ids[np.repeat(self.again, self.sizes)]
+        self.sizes = self.sizes[self.again]
+        self.again = np.zeros(len(kept), bool)
 
     def _learn(self) -> None:
         new, self.numbers.new = self.numbers.new, []
@@ -72,7 +85,7 @@ class Encoder:
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and the number of ids of each."""
         if len(self.numbers) > ENTRIES:
-            self._clear()
+            self._forget()
         pieces: list = []
         counts = np.empty(len(texts), np.int64)
         for i, text in enumerate(texts):
@@ -81,6 +94,9 @@ class Encoder:
             pieces += found
         numbers = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
         self._learn()
+        times = np.bincount(numbers, minlength=len(self.numbers))
+        times[: len(self.again)] *= 2  # known before
+        self.again = np.append(self.again, np.zeros(len(times) - len(self.again), bool)) | (times > 1)
         # every piece's stretch of the kept ids, with a place for the end after each text
         starts = np.cumsum(self.sizes) - self.sizes
         bounds = np.cumsum(counts)

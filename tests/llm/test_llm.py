@@ -364,3 +364,14 @@ def test_pipeline_keeps_what_its_stages_say(spark):
     encode = tokens.encoder(public_tokenizers.path(queries.BYTE_BPE), "spaced").tokenizer.encode
     total = sum(len(encode(r.text or "", add_special_tokens=False).ids) + 1 for r in kept.select("text").collect())
     assert packed["length"].sum() == total
+
+
+def test_ids_do_not_depend_on_what_a_worker_keeps(monkeypatch):
+    texts = [f"word{i % 7} rare{i}  \tWord{i % 3}\n".encode() for i in range(60)] + [b"", b" "]
+    found = []
+    for entries in (1_000, 20, 1):
+        monkeypatch.setattr(tokens, "ENTRIES", entries)
+        encoder = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"), tokens.spaced)
+        parts = [encoder.encode(texts[i : i + 4], 2) for i in range(0, len(texts), 4)]
+        found.append([np.concatenate(x).tolist() for x in zip(*parts)])
+    assert found[0] == found[1] == found[2]
