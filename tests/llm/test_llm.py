@@ -213,6 +213,24 @@ def test_outlandish_text_is_rejected(spark):
     assert not got[10**9]["base_failed"] and not got[10**9]["kept"]
 
 
+def test_quality_ignores_copies(spark):
+    """One text repeated to a third of all rows, most of its language, changes no verdict."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    plain = by_id(quality.verdicts(docs, Tables(spark, "t")))
+    langs = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    ours = [i for i in plain if langs[i] == "es" and plain[i]["kept"]]
+    one = docs.filter(F.col("doc_id") == min(ours, key=lambda i: (plain[i]["log_perplexity"], i)))
+    copies = one.withColumn("doc_id", F.explode(F.sequence(F.lit(10**9), F.lit(10**9 + docs.count() // 2))))
+    spaced = copies.withColumn("text", F.expr("CASE WHEN doc_id % 2 = 0 THEN concat(' ', text) ELSE text END"))
+    got = by_id(quality.verdicts(docs.unionByName(spaced.select(docs.columns)), Tables(spark, "t")))
+    assert len(got) > 1.5 * len(plain)
+    for i, r in plain.items():
+        assert got[i]["kept"] == r["kept"]
+        for name in ("log_perplexity", "lower", "upper"):
+            assert r[name] is None and got[i][name] is None or math.isclose(r[name], got[i][name], rel_tol=1e-9)
+    assert all(r["kept"] for i, r in got.items() if i >= 10**9)
+
+
 def test_packing(spark, awkward):
     for frame in (spark.read.parquet(f"{SMALL}/documents.parquet"), awkward):
         texts = Counter((r.doc_id, r.text or "") for r in frame.select("doc_id", "text").collect())
