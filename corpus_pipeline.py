@@ -14,7 +14,7 @@ from ledgerstar.llm.tables import Tables
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie in their language's band of perplexity."""
-    return quality.accepted(docs, Tables(spark, "quality"))
+    return quality.accepted(docs, Tables(spark, "quality"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,7 +39,8 @@ def op4_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.verdicts(_table(spark, sf_dir, "documents"), Tables(spark, "op5")).select(
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality.verdicts(documents, Tables(spark, "op5"), labels).select(
         "doc_id",
         "n_words",
         "word_chars",

@@ -231,6 +231,29 @@ def test_quality_ignores_copies(spark):
     assert all(r["kept"] for i, r in got.items() if i >= 10**9)
 
 
+def test_band_widths_from_labels(spark):
+    """Each side loses LOSS of the good texts at most, and junk below the good ones is rejected."""
+    made = [(i, "en", i, 1000, 0.7 + 0.01 * (i % 200 - 100) / 100 + (0.2 if i % 160 == 0 else 0)) for i in range(2000)]
+    made += [(i, "en", i, 1000, 0.65) for i in range(2000, 2060)]  # 10 deviations below
+    made += [(i, "en", 5, 1000, 0.7) for i in range(3000, 4000)]  # copies
+    made += [(i, "xx", i, 1000, 0.5 + 0.0001 * (i % 50)) for i in range(5000, 5100)]  # few, unlabelled
+    made += [(6000, "xx", 6000, 1000, 0.4), (None, "xx", 6001, 1000, 0.5)]
+    measures = spark.createDataFrame(made, "doc_id long, _lang string, digest int, n_words long, log_perplexity double")
+    measures = measures.withColumns({"digest": F.expr("encode(string(digest), 'UTF-8')"), "base_failed": F.lit(False)})
+    labels = spark.createDataFrame([(i, int(i < 2000)) for i in range(2030)], "doc_id long, quality int")
+    got = rows(quality.judged(measures, quality.bands(measures, labels)))
+    assert len(got) == len(made)
+    good = [r for r in got if r["doc_id"] is not None and r["doc_id"] < 2000]
+    assert sum(r["log_perplexity"] < r["lower"] for r in good) <= quality.LOSS * 2000
+    assert sum(r["log_perplexity"] > r["upper"] for r in good) <= quality.LOSS * 2000
+    assert not any(r["kept"] for r in got if r["doc_id"] in range(2000, 2060))
+    assert good[1]["upper"] - 0.7 > 3 * (0.7 - good[1]["lower"])
+    odd = {r["doc_id"]: r["kept"] for r in got if r["_lang"] == "xx"}
+    assert odd[None] and not odd[6000] and sum(odd.values()) >= 95
+    none = rows(quality.judged(measures, quality.bands(measures, labels.limit(0))))
+    assert [r["kept"] for r in none if r["doc_id"] == 2000] == [True]  # SPREAD decides
+
+
 def test_packing(spark, awkward):
     for frame in (spark.read.parquet(f"{SMALL}/documents.parquet"), awkward):
         texts = Counter((r.doc_id, r.text or "") for r in frame.select("doc_id", "text").collect())
