@@ -4,7 +4,13 @@ Paragraphs pass points for their length and commas to their ancestors, less with
 container's points are discounted by the share of its text that lies in links. The container with
 the most points is kept, with those siblings that score well themselves or hold long text with few
 links, and it is widened to the ``article`` or ``main`` element around it. Navigation, page headers and
-footers, sidebars, notices, adverts, forms, comments of readers, scripts and styles never count.
+footers, sidebars, notices, adverts, forms, comments of readers, scripts and styles never count. Words in
+class, id and role name such parts only where the element holds neither the article with the most text,
+nor ``main``, ``h1`` or most of the page's text; comments stay comments however long they are, and so
+does all that lies beside an ``article`` or ``main`` with text.
+
+Inside a kept ``article`` or ``main`` a block of links goes only when its whole list is a menu: all in links,
+and short ones. Tables of links stay.
 
 Defined results: null or empty markup gives an empty text; unclosed and stray tags are repaired in
 passing; a page without any scoring paragraph gives all text outside the parts named above; long
@@ -48,7 +54,9 @@ OUTSIDE_WORDS = {
     "replies", "reply", "respond", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor",
     "sponsored", "subscribe", "toolbar", "widget", "contentinfo", "complementary", "search", "alert",
 }
+COMMENT_WORDS = {"comment", "comments", "commentlist", "disqus", "remark", "replies", "reply", "respond"}
 SEMANTIC = {"article", "main"}
+LISTS = {"ul", "ol", "dl", "menu"}
 CLOSES = {  # an opening tag ends an open element of these names
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "option": {"option"},
@@ -58,7 +66,9 @@ SCORED = {"p", "pre", "td", "blockquote", "div", "section", "article", "main", "
 
 LEAST_PARAGRAPH = 25  # characters
 SIBLING_SHARE = 0.2
-LINKED = 0.5  # a block with more of its text in links is a menu
+LINKED = 0.5  # a block with more of its text in links is a menu, outside article and main
+MENU_LINKED = 0.9  # so much of a whole list in links makes it a menu, if they are short
+MOST = 0.5
 
 
 class _Page:
@@ -66,8 +76,10 @@ class _Page:
 
     def __init__(self):
         self.tags, self.parents, self.outside = ["#root"], [0], [False]
-        self.chars, self.linked = [0], [0]
+        self.words: list[set[str]] = [set()]  # of OUTSIDE_WORDS, the element's own
+        self.marked = [False]  # outside, or in an element with such words
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
+        self.chars, self.linked, self.anchors = [0], [0], [0]
         self.stack = [0]
         self.pieces: list[str] = []
         self.links: list[str] = []
@@ -88,12 +100,37 @@ class _Page:
             return
         linked = len(" ".join(html.unescape("".join(self.links)).split()))
         self.blocks.append((owner, text, linked))
-        while True:
+
+    def settle(self) -> None:
+        """Decide what lies outside, now that all elements are known, and sum up the rest."""
+        n = len(self.tags)
+        total, holds = [0] * n, [False] * n
+        for owner, text, _ in self.blocks:
+            total[owner] += len(text)
+        for i in range(n - 1, 0, -1):  # parents come before their children
+            total[self.parents[i]] += total[i]
+        articles = [i for i in range(n) if self.tags[i] == "article" and not self.outside[i] and not self.words[i]]
+        longest = max(articles, key=lambda i: total[i], default=0)
+        mains = [i for i in range(n) if self.tags[i] == "main" and not self.outside[i]]
+        known = {i for i in (longest, *mains) if i and total[i]}  # parts that need no guess by length
+        for i in range(n - 1, 0, -1):
+            holds[i] |= i == longest or self.tags[i] in ("main", "h1") and not self.outside[i]
+            holds[self.parents[i]] |= holds[i]
+        within = [False] * n
+        for i in range(1, n):
+            within[i] = i in known or within[self.parents[i]]
+            most = total[i] > MOST * total[0] and self.words[i].isdisjoint(COMMENT_WORDS) and (within[i] or not known)
+            named = bool(self.words[i]) and self.tags[i] not in SEMANTIC and not holds[i] and not most
+            self.outside[i] |= self.outside[self.parents[i]] or named
+        self.blocks = [x for x in self.blocks if not self.outside[x[0]]]
+        self.chars, self.linked = [0] * n, [0] * n
+        self.anchors = [int(x == "a" and not out) for x, out in zip(self.tags, self.outside)]
+        for owner, text, linked in self.blocks:
             self.chars[owner] += len(text)
             self.linked[owner] += linked
-            if not owner:
-                return
-            owner = self.parents[owner]
+        for i in range(n - 1, 0, -1):
+            for sums in (self.chars, self.linked, self.anchors):
+                sums[self.parents[i]] += sums[i]
 
     def text(self, data: str) -> None:
         self.pieces.append(data)
@@ -126,14 +163,15 @@ class _Page:
             self.pieces.append(" ")
             return
         parent = self.stack[-1]
-        outside = self.outside[parent] or self._is_outside(name, token)
-        if outside and not self.outside[parent]:
+        outside, words = self._named(name, token)
+        marked = self.marked[parent] or outside or bool(words) and name not in SEMANTIC
+        if marked and not self.marked[parent]:
             self.flush()
         self.tags.append(name)
         self.parents.append(parent)
-        self.outside.append(outside)
-        self.chars.append(0)
-        self.linked.append(0)
+        self.outside.append(outside or self.outside[parent])
+        self.words.append(words)
+        self.marked.append(marked)
         self.stack.append(len(self.tags) - 1)
         self.depth_of_links += name == "a"
 
@@ -146,18 +184,19 @@ class _Page:
             if tag in SCOPES:
                 return
 
-    def _is_outside(self, name: str, token: str) -> bool:
+    def _named(self, name: str, token: str) -> tuple[bool, set[str]]:
+        """Whether the element lies outside by itself, and its words that name such parts."""
         if name in OUTSIDE:
-            return True
+            return True, set()
         if name == "header":  # of the page, not of the article
-            return not any(self.tags[i] in SEMANTIC for i in self.stack)
-        if name in ("body", "html") or name in SEMANTIC or "=" not in token and "hidden" not in token:
-            return False
-        if HIDDEN.search(token):
-            return True
+            return not any(self.tags[i] in SEMANTIC for i in self.stack), set()
+        if name in ("body", "html") or "=" not in token and "hidden" not in token:
+            return False, set()
+        if name not in SEMANTIC and HIDDEN.search(token):
+            return True, set()
         named = " ".join(a or b or c for a, b, c in MARKS.findall(token))
         parts = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", named).lower())
-        return not OUTSIDE_WORDS.isdisjoint(parts)
+        return False, OUTSIDE_WORDS.intersection(parts)
 
 
 def parse(markup: str) -> _Page:
@@ -180,6 +219,7 @@ def parse(markup: str) -> _Page:
         else:
             page.open(name, token)
     page.flush()
+    page.settle()
     return page
 
 
@@ -201,6 +241,19 @@ def _scores(page: _Page) -> list[float]:
     ]
 
 
+def _is_menu(page: _Page, owner: int) -> bool:
+    """Whether the whole list around a block of links is a menu; a block in no list is one by itself."""
+    whole, node = owner, owner
+    while node and page.tags[node] not in SEMANTIC:
+        if page.tags[node] == "table":
+            return False
+        if page.tags[node] in LISTS:
+            whole = node
+        node = page.parents[node]
+    short = page.chars[whole] < LEAST_PARAGRAPH * page.anchors[whole]
+    return short and page.linked[whole] >= MENU_LINKED * page.chars[whole]
+
+
 def main_text(markup: str) -> str:
     """Text of the best container and its fitting siblings, one line per block."""
     page = parse(markup)
@@ -227,11 +280,12 @@ def main_text(markup: str) -> str:
     inside = [False] * len(page.tags)  # parents come before their children
     for i in range(len(page.tags)):
         inside[i] = i in kept or (i > 0 and inside[page.parents[i]])
-    lines = [
-        text
-        for owner, text, linked in page.blocks
-        if inside[owner] and not (linked > LINKED * len(text) and page.tags[owner] in ("li", "td", "dd", "div", "ul"))
-    ]
+    whole = kept == {0} or any(page.tags[i] in SEMANTIC for i in kept)
+    lines = []
+    for owner, text, linked in page.blocks:
+        links = linked > LINKED * len(text) and page.tags[owner] in ("li", "td", "dd", "div", "ul")
+        if inside[owner] and not (links and (not whole or _is_menu(page, owner))):
+            lines.append(text)
     return "\n".join(lines)
 
 

@@ -330,6 +330,30 @@ def test_main_text(markup, text):
     assert html.main_text(markup or "") == text
 
 
+LONG = "A long paragraph, with commas, that easily passes the least length of a paragraph."
+
+
+@pytest.mark.parametrize("markup, text", [
+    # links in the article that are text: a list of references, a table of names; a menu goes
+    (f"<article><p>{LONG}</p><ul><li><a>Smith, J. (1999). A study of long things</a><li><a>Jones, K. (2001). Another"
+     " study of them</a></ul><table><tr><td><a>Anna</a><td><a>Bert</a></table><ul><li><a>Home</a><li><a>Next</a></ul>"
+     "</article>",
+     f"{LONG}\nSmith, J. (1999). A study of long things\nJones, K. (2001). Another study of them\nAnna\nBert"),
+    (f"<main><p>{LONG}</p><ul><li>Not a link, but <a>a long one, and more of it</a><li><a>b</a></ul></main>",
+     f"{LONG}\nNot a link, but a long one, and more of it\nb"),
+    # class words around the text
+    (f"<body><div class='content with-sidebar'><p>{LONG}</p></div></body>", LONG),
+    (f"<div id='search-results'><article><div class='post-header'><h1>T</h1></div><p>{LONG}</p></article></div>",
+     f"T\n{LONG}"),
+    (f"<main><div class='has-sidebar'><p>{LONG}</p></div><div class='sidebar'><p>{LONG[:40]}</p></div></main>", LONG),
+    # and beside it, however long
+    (f"<div class='ad'>{LONG * 3}</div><article><h1>T</h1><p>short</p></article>", "T\nshort"),
+    (f"<main><p>{LONG}</p><div id='comments'><article class='comment'><p>{LONG * 5}</p></article></div></main>", LONG),
+])
+def test_main_text_is_whole(markup, text):
+    assert html.main_text(markup) == text
+
+
 def test_main_text_of_pages(spark):
     pages = spark.createDataFrame([(1, "u", None), (None, None, "<p>x</p>")], "page_id long, url string, html string")
     assert {(r["page_id"], r["text"], r["n_chars"]) for r in rows(html.extracted(pages))} == {(1, "", 0), (None, "x", 1)}
