@@ -22,6 +22,7 @@ from ledgerstar.scratch import Tables
 
 SMALL = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LETTERS = str.maketrans("0123456789", "abcdefghij")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 AWKWARD = [
     (1, "one two three four five six seven eight nine ten eleven", "en", "a", 0, "x"),
@@ -122,6 +123,34 @@ def test_mined_rules_equal_counts(spark):
     assert {r["verdict"] for r in rows(none)} == {"allow"}
 
 
+@pytest.mark.parametrize("bad, good", [
+    ("http://a.example.org/2024/05/casino/{}", "http://a.example.org/2024/05/news/{}"),  # third segment
+    ("http://a.example.org/x/{1}-pills-{1}", "http://a.example.org/x/{1}-books-{1}"),  # a word
+    ("http://a.example.org/x?page={}&ref=1", "http://a.example.org/x?page={}&to=1"),  # a later key
+    ("http://a.example.org/x?cat=13&n={}", "http://a.example.org/x?cat=14&n={}"),  # a value
+    ("http://spam.a.b.c.example.org/{}", "http://ham.a.b.c.example.org/{}"),  # a sixth label
+])
+def test_rules_see_the_whole_url(spark, bad, good):
+    pages = spark.createDataFrame(
+        [(i, (good if i % 3 else bad).format(i, str(i).translate(LETTERS))) for i in range(150)],
+        "page_id long, url string",
+    )
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(100)], "doc_id long, quality int")
+    got = {r["page_id"]: r["verdict"] for r in rows(urls.judged(pages, labels, Tables(spark, "t"), ()))}
+    assert got == {i: "allow" if i % 3 else "block" for i in range(150)}
+
+
+def test_mining_is_bounded_by_support(spark):
+    """30 features on overlapping pages have 2**30 combinations; single ones keep the least support."""
+    rng = np.random.default_rng(1)
+    made = [(i, "http://h/" + "/".join(f"{'ab'[int(x < 0.05)]}" for x in rng.random(30))) for i in range(400)]
+    made += [(1000 + i, f"http://h/pills/{i}") for i in range(25)]
+    pages = spark.createDataFrame(made, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i < 1000)) for i, _ in made], "doc_id long, quality int")
+    mined = rows(urls.mine(pages, labels, Tables(spark, "t")))
+    assert ["p1:pills"] in [r["body"] for r in mined]
+
+
 def test_exact(spark, awkward):
     got = rows(exact.judged(awkward, Tables(spark, "t")))
     assert len(got) == len(AWKWARD)
