@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerstar.llm import binary, exact, html, lm, mixing, neardup, packing, pii, quality, urls
+from ledgerstar.llm import (
+    binary, discriminant, exact, html, lm, mixing, neardup, packing, periodic, pii, quality, urls, variants,
+)
 from ledgerstar.llm.tables import Tables
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -89,6 +91,19 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return discriminant.scored(documents, labels, Tables(spark, "op11"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.detected(_table(spark, sf_dir, "documents"), change=True)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(_table(spark, sf_dir, "documents"), Tables(spark, "op13"), variants.PLANTED)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         query.__name__: query
@@ -103,6 +118,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_main_text,
             op9_near_dedup,
             op10_source_mix,
+            op11_quality_classifier,
+            op12_periodic_runs,
+            op13_spelling_variants,
         )
     }
 
