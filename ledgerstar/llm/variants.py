@@ -1,20 +1,21 @@
 """Spelling variants: words one edit apart, found by pivotal grams, and the forms they vary.
 
 A word's bigrams are ordered from rare to common in the vocabulary. Its prefix is the first
-``2 * EDITS + 1`` of them with all that tie with the last; among three places of bigrams two are always
-disjoint, and dynamic programming takes the disjoint ones with the fewest words behind them as pivots.
-One edit spoils at most one of two disjoint bigrams. So of two words one edit apart, the one whose
-prefix ends earlier in the order has a pivot that the edit leaves whole, and that pivot lies in the other's
-prefix. Pivots are therefore joined with prefixes, not grams with grams.
-
-A pivot left whole has the edit on one side only, so its place counted from the other end is the
-same in both words, and so are all letters up to that end. The key of the join is the gram with its
-place and those letters (64 bits of a hash), once for either end; pairs that meet there are verified by
-their edit distance.
-
-Words are joined by key, never listed per group: a frequent gram is nobody's pivot unless
-all grams of the word are frequent, and a hot key is two sides of one join that adaptive execution may
-split. The only table on the driver is that of bigrams, bounded by the square of the alphabet's 90 letters.
+``GRAM * EDITS + 1`` of them; among three places of bigrams two are always disjoint, and dynamic
+programming takes the disjoint ones with the fewest words behind them as pivots. One edit spoils at most one of
+two disjoint bigrams. So of two words one edit apart, the one whose prefix ends earlier in the order
+has a pivot that the edit leaves whole, and that pivot lies in the other's prefix. Pivots are therefore joined
+with prefixes, not grams with grams. Equal bigrams are ordered by place, and an edit makes or spoils
+at most two: the indexed prefix goes on by up to two places that tie with its last one.
+
+A pivot left whole has the edit on one side only, so its place counted from the other end is the same in
+both words, and so are all letters up to that end. The key of the join is this place with those letters,
+once for either end. Where they are fewer than ``STRONG``, half of the other letters join the key, the nearer or the
+farther half of the word with the pivot: an edit leaves one of them whole. Keys are 61 bits of a
+hash, and pairs that meet are verified by their edit distance.
+
+No group is ever listed: a hot key is two sides of one join that adaptive execution may split. The only
+table on the driver is that of bigrams, bounded by the square of the alphabet's 90 letters.
 
 Defined results: a null text has no words; a null id counts as an empty one; repeated rows count again; words
 without near words have no form and are their own root; an empty table gives an empty result.
@@ -28,7 +29,6 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerstar.llm import words as W
@@ -39,6 +39,7 @@ GRAM = 2
 LEAST_LETTERS = 5
 LEAST_TIMES = 3
 TIMES_MORE = 2  # a form occurs at least so many times as often as its variant
+STRONG = 6  # letters that make a key on their own
 PLANTED = 97
 DISTINCT = 200_000  # words that a counting task holds before it emits them
 
@@ -109,12 +110,13 @@ def gram_order(words: DataFrame) -> dict[str, tuple[int, int]]:
     return {gram: (rank, n) for rank, (n, gram) in enumerate(ordered)}
 
 
-def prefix(word: str, order: dict[str, tuple[int, int]]) -> list[int]:
-    """Places of the rarest ``GRAM * EDITS + 1`` bigrams, and of those equal to the last."""
-    places = range(len(word) - GRAM + 1)
-    ranks = [order[word[i : i + GRAM]][0] for i in places]
-    last = sorted(ranks)[GRAM * EDITS]
-    return [i for i in places if ranks[i] <= last]
+def prefix(word: str, order: dict[str, tuple[int, int]]) -> tuple[list[int], list[int], int]:
+    """Places of the rarest bigrams, those that tie behind them, and the rank they end with."""
+    size = GRAM * EDITS + 1
+    ranked = sorted((order[word[i : i + GRAM]][0], i) for i in range(len(word) - GRAM + 1))
+    last = ranked[size - 1][0]
+    tied = [i for rank, i in ranked[size : size + GRAM * EDITS] if rank == last]
+    return sorted(i for _, i in ranked[:size]), tied, last
 
 
 def pivots(word: str, places: list[int], order: dict[str, tuple[int, int]]) -> list[int]:
@@ -137,34 +139,64 @@ def pivots(word: str, places: list[int], order: dict[str, tuple[int, int]]) -> l
     return past[-1][1][EDITS + 1][1]
 
 
-def _ends(word: str) -> tuple[list[int], list[int]]:
-    """Hashes of the letters up to and with the gram at each place, and of those from it on."""
-    n = len(word) - GRAM + 1
-    ahead, behind = xxhash.xxh3_64(word[: GRAM - 1].encode()), xxhash.xxh3_64(word[: -GRAM : -1].encode(), seed=1)
-    before, after = [0] * n, [0] * n
-    for i in range(n):
-        ahead.update(word[i + GRAM - 1].encode())
-        before[i] = ahead.intdigest() - (1 << 63)
-        behind.update(word[n - 1 - i].encode())
-        after[n - 1 - i] = behind.intdigest() - (1 << 63)
-    return before, after
+PRIME, BASE, MIX = (1 << 61) - 1, 0x1F3D5B79A2C4E68F, 0x0B7E151628AED2A6
+POWERS = [1]
+
+
+def _hashes(letters: str) -> list[int]:
+    """Hash of each beginning of the letters."""
+    while len(POWERS) <= len(letters):
+        POWERS.append(POWERS[-1] * BASE % PRIME)
+    value, found = 0, [0]
+    for x in letters:
+        value = (value * BASE + ord(x) + 1) % PRIME
+        found.append(value)
+    return found
+
+
+def word_keys(word: str, order: dict[str, tuple[int, int]]) -> tuple[list[tuple[int, bool]], int]:
+    """Keys of a word's prefix, those of its pivots marked, and the rank where the prefix ends.
+
+    A word that is one letter longer or shorter halves its letters elsewhere, so a word has the keys
+    for all three; as a pivot, for its own length alone.
+    """
+    first, tied, last = prefix(word, order)
+    chosen = pivots(word, first, order)
+    n, found = len(word), []
+    for end, letters in enumerate((word, word[::-1])):
+        hashes = _hashes(letters)
+        for place in [*first, *tied]:
+            pivot = place in chosen
+            known = (place if end == 0 else n - GRAM - place) + GRAM
+            head = hashes[known] * MIX + 6 * known + end
+            if known >= STRONG:
+                found.append((head % PRIME, pivot))
+                continue
+            rest = n - known
+            for near in {(rest + i) // 2 for i in (-EDITS, 0, EDITS)}:
+                if 0 <= near <= rest:
+                    whole = hashes[known + near] * MIX + 6 * known + 2 + end
+                    found.append(((whole * MIX + near) % PRIME, pivot and near == rest // 2))
+            for far in {(rest + i + 1) // 2 for i in (-EDITS, 0, EDITS)}:
+                if 0 <= far <= rest:
+                    tail = (hashes[n] - hashes[n - far] * POWERS[far]) % PRIME
+                    found.append((((head + 4) * MIX + tail * BASE + far) % PRIME, pivot and far == (rest + 1) // 2))
+    return found, last
 
 
 def _keys(batches: Iterable[pa.RecordBatch], order: dict[str, tuple[int, int]]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for word in batch.column("word").to_pylist():
-            places = prefix(word, order)
-            chosen = set(pivots(word, places, order))
-            last = max(order[word[i : i + GRAM]][0] for i in places)
-            for keys in _ends(word):
-                rows += [(word, keys[i], i in chosen, last, len(word)) for i in places]
-        columns = list(zip(*rows)) or [()] * 5
-        kinds = (pa.string(), pa.int64(), pa.bool_(), pa.int32(), pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x, kind) for x, kind in zip(columns, kinds)],
-            names=["word", "key", "pivot", "last", "letters"],
-        )
+        for at in range(0, batch.num_rows, 1000):
+            rows = []
+            for word in batch.column("word").slice(at, 1000).to_pylist():
+                keys, last = word_keys(word, order)
+                rows += [(word, key, pivot, last, len(word)) for key, pivot in keys]
+            columns = list(zip(*rows)) or [()] * 5
+            kinds = (pa.string(), pa.int64(), pa.bool_(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, kind) for x, kind in zip(columns, kinds)],
+                names=["word", "key", "pivot", "last", "letters"],
+            )
 
 
 def near_pairs(words: DataFrame, tables: Tables) -> DataFrame:
