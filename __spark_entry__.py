@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,12 +24,11 @@ from ledgerstar.sources import files as sources
 try:
     import corpus_pipeline
     from ledgerstar.llm import queries as corpus_queries
-except ModuleNotFoundError as error:  # the subpackage can be left out; nothing else may be missing
-    if not (error.name or "").startswith(("corpus_pipeline", "ledgerstar.llm")):
-        raise
+except ImportError as error:  # the subpackage, or something that it alone needs, can be left out
+    logging.getLogger(__name__).warning("no corpus queries: %s", error)
     corpus_pipeline = corpus_queries = None
 
-MULTI_LINE_ROWS = 2_000  # a file, of texts that may be long
+MULTI_LINE_BYTES = 256 << 10  # a range, so that the tables at hand are split
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,8 +163,8 @@ def _batch_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _csv(spark: SparkSession, frame: DataFrame, schema, multi_line: bool = False) -> DataFrame:
     path = f"{fx.scratch(spark)}/table.csv"
-    sinks.write_csv(frame, path, MULTI_LINE_ROWS if multi_line else 0)
-    return sources.read_csv(spark, path, schema, multi_line)
+    sinks.write_csv(frame, path)
+    return sources.read_csv(spark, path, schema, multi_line, range_bytes=MULTI_LINE_BYTES)
 
 
 def _parquet(spark: SparkSession, frame: DataFrame, schema, partition_by=()) -> DataFrame:
@@ -183,9 +183,9 @@ def _csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long texts with line breaks; a file is read by one task, so its rows are bounded."""
+    """Long texts with line breaks in one file, read by a task per range of bytes."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return _csv(spark, documents, documents.schema, multi_line=True)
+    return _csv(spark, documents.coalesce(1), documents.schema, multi_line=True)
 
 
 def _csv_processed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ from ledgerstar.plans.reports import by_customer
 from ledgerstar.schemas import TRANSACTION_TYPES
 
 DAYS, HOURS = 7, 24
+REST = "other"  # the pivot's column for types that are not listed
 PERIOD = calendar.period_label("tx_year", "tx_month")
 
 
@@ -99,13 +100,16 @@ def account_pivot(
 ) -> DataFrame:
     """Account types by transaction types, zero where there is no revenue.
 
-    There is a column for each of ``types``, and ``other`` for every other and for null types, so each
-    row adds up to the account's revenue whatever the types in the data. Null account types are
-    a row. Cents are summed, so the result does not depend on the order of tasks.
+    There is a column for each of ``types``, and ``other`` (``REST``) for every other and for null types, so each
+    row adds up to the account's revenue whatever the types in the data. A declared type of that name
+    is refused, as its column would be the one of the rest. Null account types are a row. Cents are
+    summed, so the result does not depend on the order of tasks.
     """
+    if REST in types:
+        raise ValueError(f"no column can be named {REST!r}: it holds all types that are not listed")
     cells = _cells(spending, customers).selectExpr("account_type", "transaction_type", f"{TOTAL_CENTS} AS cents")
     listed = F.coalesce(F.col("transaction_type").isin(*types), F.lit(False))
-    tests = {name: F.col("transaction_type").eqNullSafe(name) for name in types} | {"other": ~listed}
+    tests = {name: F.col("transaction_type").eqNullSafe(name) for name in types} | {REST: ~listed}
     sums = cells.groupBy("account_type").agg(
         *[F.sum(F.when(test, F.col("cents"))).alias(name) for name, test in tests.items()]
     )

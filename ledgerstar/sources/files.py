@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, IntegralType, StringType, StructField, StructType
 
 from ledgerstar.schemas import STAR_TABLES, table_schemas
+from ledgerstar.sources import quoted
 
 CORRUPT = "_corrupt_record"
 
@@ -24,6 +26,7 @@ def read_csv(
     schema: StructType,
     multi_line: bool = False,
     keep_corrupt: bool = False,
+    range_bytes: int = quoted.RANGE_BYTES,
 ) -> DataFrame:
     """CSV with a header. A cell that is empty, or does not fit its type, becomes null.
 
@@ -36,21 +39,14 @@ def read_csv(
     With ``keep_corrupt`` the source line of each such row is kept in ``_corrupt_record`` (for a
     fraction or a number beyond its type, the line put together again); write that frame before
     looking for corrupt rows. ``multi_line`` allows line breaks inside quoted text, kept as they
-    are; rows must then end in a plain line feed, and a file can no longer be split among tasks.
+    are; rows must then end in a plain line feed. Files are split into ranges of ``range_bytes`` all the
+    same, by a pass over the quotes that runs at once, see :mod:`ledgerstar.sources.quoted`; zero
+    leaves each file to one task.
     """
     whole = {f.name: f.dataType.simpleString() for f in schema if isinstance(f.dataType, IntegralType)}
     parsed = [StructField(f.name, WHOLE if f.name in whole else f.dataType) for f in schema]
     extra = [StructField(CORRUPT, StringType())] if keep_corrupt else []
-    reader = (
-        spark.read.schema(StructType(parsed + extra))
-        .options(**CSV_OPTIONS)
-        .option("enforceSchema", False)
-        .option("multiLine", multi_line)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-    )
-    if multi_line:
-        reader = reader.option("lineSep", "\n")  # else the parser guesses, and changes \r\n inside text
-    frame = reader.csv(path)
+    frame = _columns(spark, path, StructType(parsed + extra), multi_line, range_bytes)
     if not whole:
         return frame
 
@@ -66,6 +62,41 @@ def read_csv(
     return frame.select(*columns)
 
 
+def _columns(
+    spark: SparkSession, path: str, schema: StructType, multi_line: bool, range_bytes: int
+) -> DataFrame:
+    """Parsed columns, of ranges where they may hold line breaks, else by Spark's reader."""
+    found = quoted.files(path) if multi_line and range_bytes else None
+    if not found:
+        return _whole_files(spark, path, schema, multi_line)
+    split = quoted.split(spark, found, range_bytes)
+    names = [name for name in schema.names if name != CORRUPT]
+    for header in split.headers:
+        if [x.lower() for x in next(csv.reader([header.removeprefix("\ufeff").rstrip("\r")]))] != [x.lower() for x in names]:
+            raise ValueError(f"CSV header does not conform to the schema: {header!r}, not {','.join(names)!r}")
+    options = {"escape": CSV_OPTIONS["escape"], "columnNameOfCorruptRecord": CORRUPT}
+    frame = quoted.parsed(spark, split.ranges, schema.toDDL(), options)
+    if not split.irregular:
+        return frame
+    others = _whole_files(spark, split.irregular, schema, multi_line)
+    return frame.unionByName(others) if split.ranges else others
+
+
+def _whole_files(
+    spark: SparkSession, path: str | list[str], schema: StructType, multi_line: bool
+) -> DataFrame:
+    reader = (
+        spark.read.schema(schema)
+        .options(**CSV_OPTIONS)
+        .option("enforceSchema", False)
+        .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+    )
+    if multi_line:
+        reader = reader.option("lineSep", "\n")  # else the parser guesses, and changes \r\n inside text
+    return reader.csv(path)
+
+
 def corrupt_rows(kept: DataFrame) -> DataFrame:
     """Rows of which at least one cell did not fit its type."""
     return kept.filter(F.col(CORRUPT).isNotNull())
