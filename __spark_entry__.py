@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import fixtures as fx
 from checks import oracles
+from ledgerstar.functions.fingerprint import fingerprint
 from ledgerstar.operators import dimensions, quality
 from ledgerstar.operators.rollups import REVENUE, rollup
 from ledgerstar.plans import batch, charts, reports
@@ -150,6 +151,30 @@ def _reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _reconciled_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of the rows from cleansing to the written fact, and of customers."""
+    fact, people = fx.fact(spark, sf_dir), fx.dim_customers(spark, sf_dir)
+    stages = {
+        "processed": (fx.processed(spark, sf_dir), batch.CONTENTS),
+        "fact_transactions": (
+            _parquet(spark, fact, TABLES["fact_transactions"], FACT_PARTITIONS), batch.CONTENTS
+        ),
+        "raw_customers": (fx.customers(spark, sf_dir), batch.CUSTOMER_CONTENTS),
+        "dim_customers": (_parquet(spark, people, TABLES["dim_customers"]), batch.CUSTOMER_CONTENTS),
+    }
+    return batch.reconcile_contents(stages)
+
+
+def _month_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What tells a run which months have changed."""
+    return fingerprint(fx.processed(spark, sf_dir), batch.CONTENTS, FACT_PARTITIONS)
+
+
+def _tenure_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with their tenure on the day of the query."""
+    return dimensions.dim_customers(fx.customers(spark, sf_dir))
+
+
 def _batch_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.verify(spark, _batch(spark, sf_dir)[0])
 
@@ -312,6 +337,9 @@ def _star_queries() -> dict[str, Query]:
         "dq_fk_integrity": _references,
         "dq_fk_orphans": _orphans,
         "recon_counts": _reconciled,
+        "recon_contents": _reconciled_contents,
+        "recon_months": _month_prints,
+        "dim_customers_today": _tenure_today,
         "batch_run_outputs": _batch_outputs,
         "batch_run_revenue": _batch_revenue,
         "src_csv_transactions": _csv_transactions,

@@ -181,6 +181,35 @@ UNION ALL SELECT 'dim_customers', COUNT(*) FROM dim_customers
 UNION ALL SELECT 'dim_date', COUNT(*) FROM dim_date
 UNION ALL SELECT 'dim_transaction_type', COUNT(*) FROM dim_type"""
 
+
+
+def _prints(**columns: str) -> str:
+    """Fingerprint of rows: both halves of the MD5 of all values, each behind its length."""
+    row = " || ".join(f"coalesce(length({x}) || ':' || {x}, 'n')" for x in columns.values())
+    half = "CAST('0x' || substr(md5({}), {}, 15) AS BIGINT)"
+    return f"""COUNT(*) AS row_count, CAST(SUM({half.format(row, 1)}) AS VARCHAR) AS hash_sum,
+       BIT_XOR({half.format(row, 17)}) AS hash_xor"""
+
+
+_CLEAN_PRINTS = _prints(
+    transaction_id="transaction_id",
+    customer_id="CAST(customer_id AS VARCHAR)",
+    transaction_date="CAST(transaction_date AS VARCHAR)",
+    transaction_type="transaction_type",
+    amount="CAST(CAST(amount AS DECIMAL(30,4)) AS VARCHAR)",
+    status="status",
+    is_anomaly="CAST(is_anomaly AS VARCHAR)",
+)
+_CUSTOMER_PRINTS = _prints(
+    customer_id="CAST(customer_id AS VARCHAR)",
+    first_name="first_name",
+    last_name="last_name",
+    email="email",
+    phone_number="phone_number",
+    account_type="account_type",
+    join_date="CAST(join_date AS VARCHAR)",
+)
+
 _Q1 = f"""{_STAR} SELECT tx_year, tx_month, COUNT(*) AS total_transactions,
        {_REVENUE} AS total_revenue, {_MEAN} AS avg_transaction_amount
 FROM fact GROUP BY tx_year, tx_month"""
@@ -303,6 +332,14 @@ def oracle_sql() -> dict[str, str]:
         "dq_fk_orphans": """SELECT o_orderkey, COUNT(*) AS row_count FROM orders
             WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) GROUP BY o_orderkey""",
         "recon_counts": _RECONCILED,
+        "recon_contents": f"""{_STAR}
+            SELECT 'processed' AS stage, {_CLEAN_PRINTS} FROM clean
+            UNION ALL SELECT 'fact_transactions', {_CLEAN_PRINTS} FROM fact
+            UNION ALL SELECT 'raw_customers', {_CUSTOMER_PRINTS} FROM cust
+            UNION ALL SELECT 'dim_customers', {_CUSTOMER_PRINTS} FROM dim_customers""",
+        "recon_months": f"{_STAR} SELECT tx_year, tx_month, {_CLEAN_PRINTS} FROM clean GROUP BY tx_year, tx_month",
+        "dim_customers_today": f"""{_RAW} SELECT * EXCLUDE (tenure_days),
+            CAST(date_diff('day', join_date, current_date) AS INTEGER) AS tenure_days FROM dim_customers""",
         "batch_run_outputs": _RECONCILED,
         "batch_run_revenue": _Q2,
         "src_csv_transactions": _TX_ROWS,

@@ -1,10 +1,15 @@
 """The daily batch: raw tables to warehouse, reports and chart data.
 
 Every stage ends in a written table, and the next one reads it back. A lost executor thus
-costs the tasks it ran, and a failed run leaves nothing cached. The big table is read once for
-each of: staging, four quality passes, cleansing, the fact, and two rollups. All reports come
-from the rollups. Writes that do not depend on each other are submitted together, so that the
-last tasks of one leave no executor idle.
+costs the tasks it ran, and a failed run leaves nothing cached. All reports come from rollups. Writes that do
+not depend on each other are submitted together, so that the last tasks of one leave no executor idle.
+
+A run has a folder of its own and is published by its last act (:mod:`ledgerstar.sinks.versions`): until
+then, and if it breaks, readers of ``base`` see the run before. Fingerprints of the rows per type and per month
+tell which partitions of the cleansed table, of the fact and of its rollups have to be written. The same
+fingerprints are compared between the stages. The big table is read once for each of: staging, four quality
+passes, the fingerprints of the staged and of the cleansed rows, and the two contents checks; cleansing, the fact and
+its rollups read it once more each, but only for what has changed.
 """
 
 from __future__ import annotations
@@ -14,13 +19,13 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from ledgerstar.functions.fingerprint import MEASURES, added, fingerprint
 from ledgerstar.operators import dimensions, facts, quality
 from ledgerstar.operators.cleanse import cleanse
-from ledgerstar.operators.rollups import ACTIVITY_KEYS, rollup
+from ledgerstar.operators.rollups import ACTIVITY_KEYS, CUSTOMER_KEYS, rollup
 from ledgerstar.plans import charts, reports
 from ledgerstar.schemas import (
     FACT_PARTITIONS,
@@ -29,23 +34,34 @@ from ledgerstar.schemas import (
     raw_schemas,
     table_schemas,
 )
+from ledgerstar.sinks import versions
 from ledgerstar.sinks.files import write_csv, write_json, write_parquet
+from ledgerstar.sinks.versions import Manifest
 from ledgerstar.sources import files
 
+# Partitioned tables of a run
+PROCESSED = "processed/fact_transactions"
+FACT = "warehouse/fact_transactions"
+ACTIVITY = "warehouse/rollups/activity"
+MONTHLY = "warehouse/rollups/customers"
+
+# What a transaction consists of from cleansing on; all other columns follow from these
+CONTENTS = (
+    "transaction_id", "customer_id", "transaction_date", "transaction_type", "amount", "status", "is_anomaly",
+)
+CUSTOMER_CONTENTS = tuple(raw_schemas()["customers"].names)
+
 
 class QualityError(Exception):
     """A check named in ``fail_on`` did not pass."""
 
 
 class OutputError(Exception):
-    """An output is missing, or the row counts of two stages do not agree."""
+    """An output is missing, or the row counts or contents of two stages do not agree."""
 
 
 def land(tables: Mapping[str, DataFrame], base: str, rows_per_file: int = 1_000_000) -> None:
-    """Write extracted tables to the landing zone.
-
-    Text with quoted line breaks is parsed by one task per file, so the rows of a file are bounded.
-    """
+    """Write extracted tables to the landing zone."""
     for name, frame in tables.items():
         write_csv(frame, f"{base}/raw/raw_{name}.csv", rows_per_file)
 
@@ -60,34 +76,55 @@ def run(
     timestamp: str = "timestamp",
     multi_line: bool = True,
 ) -> dict[str, DataFrame]:
-    """Process the landing zone below ``base``; returns the reports and chart datasets.
+    """Process the landing zone below ``base`` and publish; returns the reports and chart datasets.
 
     With ``tables`` (``customers`` and ``transactions`` from any source) these are taken instead
     of landed text, which is then neither needed nor parsed. ``customer_id`` and ``timestamp`` are
     the types that landed text is read with. ``multi_line`` allows quoted line breaks in it; without
-    them, ``False`` lets Spark split large files. Failed quality checks are reported and do not
-    stop the run, unless named in ``fail_on``.
+    them, ``False`` spares the pass that counts quotes. Failed quality checks are reported and do not
+    stop the run, unless named in ``fail_on``. A run that stops is not published.
     """
     refuse_unknown(fail_on)
+    previous, manifest = versions.load(spark, base), versions.start(spark, base)
+    folder = versions.folder(base, manifest)
     if tables is None:
-        stage_landed(spark, base, customer_id, timestamp, multi_line)
+        stage_landed(spark, base, folder, customer_id, timestamp, multi_line)
     else:
-        writes = {f"{base}/staged/{name}": tables[name] for name in raw_schemas()}
+        writes = {f"{folder}/staged/{name}": tables[name] for name in raw_schemas()}
         write_all(*[partial(write_parquet, frame, path) for path, frame in writes.items()])
-    check_quality(spark, base, fail_on)
-
-    transactions = spark.read.parquet(f"{base}/staged/transactions").drop(files.CORRUPT)
-    processed = f"{base}/processed/fact_transactions"
-    write_parquet(cleanse(transactions), processed, PROCESSED_PARTITIONS)
+    check_quality(spark, folder, fail_on)
 
+    transactions = spark.read.parquet(f"{folder}/staged/transactions").drop(files.CORRUPT)
     staged = {field.name: field.dataType.jsonValue() for field in transactions.schema}
-    schemas = table_schemas(staged["customer_id"], staged["transaction_date"])
-    build_star(spark, base, as_of, schemas)
-    outputs = report(spark, base, files.load_star(spark, f"{base}/warehouse", schemas))
-    verify(spark, base, landed=tables is None)
+    manifest.types = {name: staged[name] for name in ("customer_id", "transaction_date")}
+    versions.refresh(
+        base, manifest, previous, PROCESSED, cleanse(transactions), PROCESSED_PARTITIONS, CONTENTS
+    )
+    build_star(spark, base, manifest, previous, as_of)
+    outputs = report(spark, base, manifest)
+    verify(spark, base, tables is None, manifest)
+    versions.publish(spark, base, manifest)
     return outputs
 
 
+def schemas_of(manifest: Manifest) -> dict[str, StructType]:
+    return table_schemas(manifest.types["customer_id"], manifest.types["transaction_date"])
+
+
+def partitioned(
+    spark: SparkSession, base: str, manifest: Manifest, name: str, only: str | None = None
+) -> DataFrame:
+    """One of a run's partitioned tables, or the part of it that the run ``only`` has written."""
+    schemas = schemas_of(manifest)
+    if name == PROCESSED:
+        return versions.read(spark, base, manifest, name, schemas["processed"], PROCESSED_PARTITIONS, only)
+    schema = schemas["fact_transactions"]
+    if name != FACT:
+        keys = ACTIVITY_KEYS if name == ACTIVITY else (*FACT_PARTITIONS, *CUSTOMER_KEYS)
+        schema = rollup(spark.createDataFrame([], schema), *keys).schema
+    return versions.read(spark, base, manifest, name, schema, FACT_PARTITIONS, only)
+
+
 def write_all(*writes: Callable[[], None]) -> None:
     """Run independent writes as concurrent Spark jobs; the first error is raised."""
     with ThreadPoolExecutor(max_workers=8) as pool:
@@ -96,16 +133,21 @@ def write_all(*writes: Callable[[], None]) -> None:
 
 
 def stage_landed(
-    spark: SparkSession, base: str, customer_id: str, timestamp: str, multi_line: bool = True
+    spark: SparkSession,
+    base: str,
+    folder: str,
+    customer_id: str,
+    timestamp: str,
+    multi_line: bool = True,
 ) -> None:
     """Parse the landed text once, into columns; rows with malformed cells are also set aside."""
 
     def stage_table(name: str, schema: StructType) -> None:
         path = f"{base}/raw/raw_{name}.csv"
         landed = files.read_csv(spark, path, schema, multi_line, keep_corrupt=True)
-        staged = f"{base}/staged/{name}"
+        staged = f"{folder}/staged/{name}"
         write_parquet(landed, staged)
-        write_json(files.corrupt_rows(spark.read.parquet(staged)), f"{base}/rejected/{name}")
+        write_json(files.corrupt_rows(spark.read.parquet(staged)), f"{folder}/rejected/{name}")
 
     schemas = raw_schemas(customer_id, timestamp)
     write_all(*[partial(stage_table, name, schema) for name, schema in schemas.items()])
@@ -116,18 +158,18 @@ def refuse_unknown(checks: tuple[str, ...]) -> None:
         raise ValueError(f"no such checks: {', '.join(sorted(unknown))}")
 
 
-def check_quality(spark: SparkSession, base: str, fail_on: tuple[str, ...] = ()) -> None:
-    """Run the checks on the staged tables and write their findings."""
+def check_quality(spark: SparkSession, folder: str, fail_on: tuple[str, ...] = ()) -> None:
+    """Run the checks on the staged tables of a run's folder and write their findings."""
     refuse_unknown(fail_on)
     passes = quality.passes(
-        spark.read.parquet(f"{base}/staged/transactions"),
-        spark.read.parquet(f"{base}/staged/customers"),
+        spark.read.parquet(f"{folder}/staged/transactions"),
+        spark.read.parquet(f"{folder}/staged/customers"),
     )
-    folder = f"{base}/quality"
+    target = f"{folder}/quality"
     write_all(
-        *[partial(write_parquet, frame, f"{folder}/passes/{name}") for name, frame in passes.items()]
+        *[partial(write_parquet, frame, f"{target}/passes/{name}") for name, frame in passes.items()]
     )
-    found = {name: spark.read.parquet(f"{folder}/passes/{name}") for name in passes}
+    found = {name: spark.read.parquet(f"{target}/passes/{name}") for name in passes}
     checks = quality.full_report(found)
     findings = {
         "report": checks,
@@ -135,7 +177,7 @@ def check_quality(spark: SparkSession, base: str, fail_on: tuple[str, ...] = ())
         "amount_stats": quality.amount_stats(found["profile"]),
     }
     write_all(
-        *[partial(write_json, frame, f"{folder}/{name}") for name, frame in findings.items()]
+        *[partial(write_json, frame, f"{target}/{name}") for name, frame in findings.items()]
     )
     if fail_on:
         statuses = {row["check"]: row["status"] for row in checks.collect()}  # one row per check
@@ -146,44 +188,57 @@ def check_quality(spark: SparkSession, base: str, fail_on: tuple[str, ...] = ())
 def build_star(
     spark: SparkSession,
     base: str,
+    manifest: Manifest,
+    previous: Manifest | None,
     as_of: datetime.date | None,
-    schemas: Mapping[str, StructType],
 ) -> None:
-    """Write the fact, its two rollups and the three dimensions."""
-    warehouse = f"{base}/warehouse"
-    processed = files.read_parquet(
-        spark, f"{base}/processed/fact_transactions", schemas["processed"]
-    )
-    customers = spark.read.parquet(f"{base}/staged/customers").drop(files.CORRUPT)
+    """Write the dimensions, and of the fact and its rollups the months that have changed."""
+    folder = versions.folder(base, manifest)
+    customers = spark.read.parquet(f"{folder}/staged/customers").drop(files.CORRUPT)
     small = {
         "dim_customers": dimensions.dim_customers(customers, as_of),
         "dim_transaction_type": dimensions.dim_transaction_type(spark),
     }
     write_all(
-        *[partial(write_parquet, frame, f"{warehouse}/{name}") for name, frame in small.items()]
+        *[partial(write_parquet, frame, f"{folder}/warehouse/{name}") for name, frame in small.items()]
     )
-
-    fact_path = f"{warehouse}/fact_transactions"
-    write_parquet(facts.fact_transactions(processed), fact_path, FACT_PARTITIONS)
-
-    written = files.read_parquet(spark, fact_path, schemas["fact_transactions"])
-    people = files.read_parquet(spark, f"{warehouse}/dim_customers", schemas["dim_customers"])
-    rollups = f"{warehouse}/rollups"
-    spending = reports.customer_spending(written, people)
+    processed = partitioned(spark, base, manifest, PROCESSED)
+    versions.refresh(
+        base, manifest, previous, FACT, processed, FACT_PARTITIONS, CONTENTS, facts.fact_transactions
+    )
+    write_rollups(spark, base, manifest)
+
+
+def write_rollups(spark: SparkSession, base: str, manifest: Manifest) -> None:
+    """Roll up the months just written, and gather what reports read over all months."""
+    folder = versions.folder(base, manifest)
+    keys = {ACTIVITY: ACTIVITY_KEYS, MONTHLY: (*FACT_PARTITIONS, *CUSTOMER_KEYS)}
+    fresh = None
+    if manifest.folder in manifest.written[FACT]:
+        fresh = partitioned(spark, base, manifest, FACT, only=manifest.folder)
+    write_all(*[
+        partial(
+            versions.follow, base, manifest, FACT, name, FACT_PARTITIONS,
+            None if fresh is None else rollup(fresh, *key),
+        )
+        for name, key in keys.items()
+    ])
+    schema = schemas_of(manifest)["dim_customers"]
+    people = files.read_parquet(spark, f"{folder}/warehouse/dim_customers", schema)
+    spending = reports.customer_spending(partitioned(spark, base, manifest, MONTHLY), people)
+    dates = dimensions.dim_date(partitioned(spark, base, manifest, ACTIVITY))
     write_all(
-        partial(write_parquet, rollup(written, *ACTIVITY_KEYS), f"{rollups}/activity"),
-        partial(write_parquet, spending, f"{rollups}/spending"),
+        partial(write_parquet, spending, f"{folder}/warehouse/rollups/spending"),
+        partial(write_parquet, dates, f"{folder}/warehouse/dim_date"),
     )
-    activity = spark.read.parquet(f"{rollups}/activity")
-    write_parquet(dimensions.dim_date(activity), f"{warehouse}/dim_date")
 
 
-def report(
-    spark: SparkSession, base: str, star: Mapping[str, DataFrame]
-) -> dict[str, DataFrame]:
+def report(spark: SparkSession, base: str, manifest: Manifest) -> dict[str, DataFrame]:
     """Write all reports and chart datasets as line JSON; returns them, still lazy."""
-    activity = spark.read.parquet(f"{base}/warehouse/rollups/activity")
-    spending = spark.read.parquet(f"{base}/warehouse/rollups/spending")
+    folder = versions.folder(base, manifest)
+    star = files.star_of(spark, base, manifest, schemas_of(manifest))
+    activity = partitioned(spark, base, manifest, ACTIVITY)
+    spending = spark.read.parquet(f"{folder}/warehouse/rollups/spending")
     dates = star["dim_date"]
     outputs = {
         "analytics/monthly_revenue": reports.monthly_revenue(activity),
@@ -202,7 +257,7 @@ def report(
         "dashboard/undated": charts.undated(activity),
         "dashboard/kpi_summary": charts.kpi_summary(activity, star["dim_customers"]),
     }
-    write_all(*[partial(write_json, frame, f"{base}/{name}") for name, frame in outputs.items()])
+    write_all(*[partial(write_json, frame, f"{folder}/{name}") for name, frame in outputs.items()])
     return outputs
 
 
@@ -236,34 +291,47 @@ def reconcile(profiled: DataFrame, stages: Mapping[str, DataFrame]) -> DataFrame
     return raw.unionByName(row_counts(stages))
 
 
-def verify(spark: SparkSession, base: str, landed: bool = True) -> DataFrame:
-    """Check that all outputs exist and that no row got lost between stages.
+def reconcile_contents(stages: Mapping[str, tuple[DataFrame, tuple[str, ...]]]) -> DataFrame:
+    """One row per stage with the fingerprint of the given columns of its rows."""
+    prints = [
+        fingerprint(frame, columns).select(F.lit(stage).alias("stage"), *MEASURES)
+        for stage, (frame, columns) in stages.items()
+    ]
+    joined, *rest = prints
+    for frame in rest:
+        joined = joined.unionByName(frame)
+    return joined
 
-    ``landed`` tells whether the run started from landed text. Counting reads file footers
-    only. Returns the counts; raises :class:`OutputError`.
+
+def verify(
+    spark: SparkSession, base: str, landed: bool = True, manifest: Manifest | None = None
+) -> DataFrame:
+    """Check that all outputs exist and that no row got lost or changed between stages.
+
+    ``landed`` tells whether the run started from landed text; ``manifest`` is that of a run not yet
+    published. Counting reads file footers only; contents are read once per stage. Returns the
+    counts; raises :class:`OutputError`.
     """
-    paths = {
-        "processed": f"{base}/processed/fact_transactions",
-        **{name: f"{base}/warehouse/{name}" for name in STAR_TABLES},
-    }
-    texts = {name: f"{base}/raw/raw_{name}.csv" for name in raw_schemas()} if landed else {}
-    schemas = table_schemas()  # lets an output be empty; counting reads none of the columns
-    stages, missing = {"raw_customers": spark.read.parquet(f"{base}/staged/customers")}, []
-    for name, path in {**texts, **paths}.items():
-        try:
-            if name in texts:
-                spark.read.text(path)
-            else:
-                stages[name] = spark.read.schema(schemas[name]).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            missing.append(path)
-    if missing:
+    manifest = versions.load(spark, base) if manifest is None else manifest
+    if manifest is None:
+        raise OutputError(f"missing: {base}/{versions.PUBLISHED}")
+    folder = versions.folder(base, manifest)
+    tables = {"processed": PROCESSED, **{name: f"warehouse/{name}" for name in STAR_TABLES}}
+    paths = [
+        f"{base}/{versions.VERSIONS}/{where}/{table}"
+        for table in tables.values()
+        for where in (manifest.written[table] if table in manifest.written else [manifest.folder])
+    ]
+    paths += [f"{folder}/staged/customers", f"{folder}/quality/passes/profile"]
+    paths += [f"{base}/raw/raw_{name}.csv" for name in raw_schemas()] if landed else []
+    if missing := [path for path in paths if not versions.exists(spark, path)]:
         raise OutputError("missing: " + ", ".join(missing))
 
-    profiled = spark.read.parquet(f"{base}/quality/passes/profile")
-    counts = reconcile(profiled, stages)
+    star = files.star_of(spark, base, manifest, schemas_of(manifest))
+    processed = partitioned(spark, base, manifest, PROCESSED)
+    customers = spark.read.parquet(f"{folder}/staged/customers")
+    stages = {"raw_customers": customers, "processed": processed, **star}
+    counts = reconcile(spark.read.parquet(f"{folder}/quality/passes/profile"), stages)
     rows = {row["stage"]: row["row_count"] for row in counts.collect()}  # one row per stage
     kept_and_removed = rows["kept"] + rows["removed"] + rows["removed_null_status"]
     if not (
@@ -272,4 +340,19 @@ def verify(spark: SparkSession, base: str, landed: bool = True) -> DataFrame:
         and rows["raw_customers"] == rows["dim_customers"]
     ):
         raise OutputError(f"row counts do not agree: {rows}")
+
+    found = reconcile_contents({
+        "processed": (processed, CONTENTS),
+        "fact_transactions": (star["fact_transactions"], CONTENTS),
+        "raw_customers": (customers, CUSTOMER_CONTENTS),
+        "dim_customers": (star["dim_customers"], CUSTOMER_CONTENTS),
+    })
+    prints = {row["stage"]: tuple(row[x] for x in MEASURES) for row in found.collect()}
+    # what cleansing made of the staged rows, as each partition's fingerprint was taken before writing
+    prints["cleansed"] = added([x.print for x in manifest.parts[PROCESSED]])
+    if not (
+        prints["cleansed"] == prints["processed"] == prints["fact_transactions"]
+        and prints["raw_customers"] == prints["dim_customers"]
+    ):
+        raise OutputError(f"contents do not agree: {prints}")
     return counts

@@ -26,14 +26,15 @@ def root(spark: SparkSession) -> str:
     return tempfile.gettempdir()
 
 
-def _path(spark: SparkSession, path: str):
+def located(spark: SparkSession, path: str):
+    """A path and its file system, as Hadoop objects."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def folder(spark: SparkSession, label: str = "run") -> str:
     """A fresh, empty folder below the root."""
-    path, system = _path(spark, f"{root(spark)}/ledgerstar-{label}-{uuid.uuid4().hex}")
+    path, system = located(spark, f"{root(spark)}/ledgerstar-{label}-{uuid.uuid4().hex}")
     system.mkdirs(path)
     system.deleteOnExit(path)
     return path.toString()
@@ -53,5 +54,5 @@ class Tables:
     def drop(self, *names: str) -> None:
         """Remove tables that no later step reads."""
         for name in names:
-            path, system = _path(self.spark, f"{self.base}/{name}")
+            path, system = located(self.spark, f"{self.base}/{name}")
             system.delete(path, True)

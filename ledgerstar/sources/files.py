@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Mapping
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, IntegralType, StringType, StructField, StructType
 
-from ledgerstar.schemas import STAR_TABLES, table_schemas
+from ledgerstar.schemas import FACT_PARTITIONS, STAR_TABLES, table_schemas
 from ledgerstar.sources import quoted
 
+if TYPE_CHECKING:
+    from ledgerstar.sinks.versions import Manifest
+
 CORRUPT = "_corrupt_record"
 
 # Quotes are doubled inside quoted text, as spreadsheet tools and data-frame libraries do
@@ -116,13 +120,37 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
 def load_star(
     spark: SparkSession, warehouse: str, schemas: Mapping[str, StructType] | None = None
 ) -> dict[str, DataFrame]:
-    """The four tables of the star schema, by name; nothing is read until they are used."""
+    """The four tables of the star schema, by name; nothing is read until they are used.
+
+    ``warehouse`` is a folder of the tables, or the base of published runs, of which the last one counts.
+    """
+    from ledgerstar.sinks import versions  # which reads by this module
+
+    manifest = versions.load(spark, warehouse)
+    if manifest is not None:
+        return star_of(spark, warehouse, manifest, schemas or table_schemas(*manifest.types.values()))
     declared = table_schemas() if schemas is None else schemas
     return {
         name: read_parquet(spark, f"{warehouse}/{name}", declared[name]) for name in STAR_TABLES
     }
 
 
+def star_of(
+    spark: SparkSession, base: str, manifest: Manifest, schemas: Mapping[str, StructType]
+) -> dict[str, DataFrame]:
+    """The star schema of one run."""
+    from ledgerstar.sinks import versions
+
+    star = {}
+    for name in STAR_TABLES:
+        table = f"warehouse/{name}"
+        if table in manifest.parts:
+            star[name] = versions.read(spark, base, manifest, table, schemas[name], FACT_PARTITIONS)
+        else:
+            star[name] = read_parquet(spark, f"{versions.folder(base, manifest)}/{table}", schemas[name])
+    return star
+
+
 def register_views(tables: Mapping[str, DataFrame]) -> None:
     """Make tables available to SQL text under their names."""
     for name, frame in tables.items():

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from helpers import customers, transactions
 from ledgerstar.operators import quality
 from ledgerstar.plans import batch
+from ledgerstar.sinks import versions
+from ledgerstar.sources import files
 
 AS_OF = dt.date(2024, 12, 31)
 
@@ -36,7 +38,9 @@ def landing(spark, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def finished(spark, landing):
-    return landing, batch.run(spark, landing, AS_OF)
+    """The folder of the published run, and its outputs."""
+    outputs = batch.run(spark, landing, AS_OF)
+    return versions.resolve(spark, landing), outputs
 
 
 def documents(folder):
@@ -65,9 +69,8 @@ def test_malformed_row_is_kept_and_reported(spark, finished):
     assert found["overall"] == "FAIL"
 
 
-def test_counts_reconcile(spark, finished):
-    base, _ = finished
-    counts = {r["stage"]: r["row_count"] for r in batch.verify(spark, base).collect()}
+def test_counts_reconcile(spark, landing, finished):
+    counts = {r["stage"]: r["row_count"] for r in batch.verify(spark, landing).collect()}
     assert counts["raw_transactions"] == 14
     assert counts["kept"] == counts["processed"] == counts["fact_transactions"] == 9
     assert (counts["removed"], counts["removed_null_status"]) == (4, 1)
@@ -95,10 +98,10 @@ def test_run_that_keeps_no_transaction(spark, tmp_path):
     assert outputs["dashboard/undated"].first()["tx_count"] == 0
 
 
-def test_second_run_replaces_the_first(spark, finished):
-    base, _ = finished
-    batch.run(spark, base, AS_OF)
-    assert spark.read.parquet(f"{base}/warehouse/fact_transactions").count() == 9
+def test_second_run_replaces_the_first(spark, landing, finished):
+    batch.run(spark, landing, AS_OF)
+    assert versions.resolve(spark, landing) != finished[0]
+    assert files.load_star(spark, landing)["fact_transactions"].count() == 9
 
 
 def test_chosen_checks_stop_the_run(spark, finished):
@@ -108,22 +111,24 @@ def test_chosen_checks_stop_the_run(spark, finished):
     batch.check_quality(spark, base, fail_on=("unique_transaction_ids",))
 
 
-def test_lost_output_is_noticed(spark, finished, tmp_path):
-    base, _ = finished
+def test_lost_output_is_noticed(spark, landing, finished, tmp_path):
     copy = str(tmp_path / "copy")
-    shutil.copytree(base, copy, ignore=lambda folder, names: ["dim_date"] if folder.endswith("warehouse") else [])
+    shutil.copytree(landing, copy, ignore=lambda folder, names: ["dim_date"] if folder.endswith("warehouse") else [])
     with pytest.raises(batch.OutputError, match="dim_date"):
         batch.verify(spark, copy)
 
 
-def test_lost_rows_are_noticed(spark, finished, tmp_path):
-    base, _ = finished
-    copy = str(tmp_path / "copy")
-    shutil.copytree(base, copy)
-    fact = f"{copy}/warehouse/fact_transactions"
-    spark.read.parquet(f"{base}/warehouse/fact_transactions").limit(8).write.mode("overwrite").parquet(fact)
-    with pytest.raises(batch.OutputError, match="do not agree"):
-        batch.verify(spark, copy)
+def test_lost_rows_are_noticed(spark, tmp_path):
+    copy = str(tmp_path)
+    tx = [{"customer_id": 1, "amount": f"{i}.50"} for i in range(9)]
+    tables = {"customers": customers(spark, {"customer_id": 1}), "transactions": transactions(spark, *tx)}
+    batch.run(spark, copy, AS_OF, tables=tables)
+    batch.verify(spark, copy, landed=False)
+    fact = f"{versions.resolve(spark, copy)}/warehouse/fact_transactions"
+    spark.read.parquet(fact).limit(8).write.parquet(f"{copy}/fewer")
+    spark.read.parquet(f"{copy}/fewer").write.mode("overwrite").partitionBy("tx_year", "tx_month").parquet(fact)
+    with pytest.raises(batch.OutputError, match="counts do not agree"):
+        batch.verify(spark, copy, landed=False)
 
 
 def test_unknown_checks_are_refused(spark, tmp_path):
@@ -146,7 +151,7 @@ def test_repeated_and_unknown_customers(spark, tmp_path):
         names = ("customers_primary_key", "customer_id_reference", "transactions_primary_key")
         batch.run(spark, str(tmp_path), AS_OF, fail_on=names, tables=tables)
     batch.run(spark, str(tmp_path), AS_OF, tables=tables)
-    report = {d["check"]: d for d in documents(f"{tmp_path}/quality/report")}
+    report = {d["check"]: d for d in documents(f"{versions.resolve(spark, str(tmp_path))}/quality/report")}
     assert list(report) == list(quality.CHECKS)
     assert {name for name, d in report.items() if d["status"] == "FAIL"} == {
         "customers_primary_key", "customer_id_reference", "overall",
@@ -169,7 +174,7 @@ def test_line_breaks_in_landed_text(spark, tmp_path, line_break):
     assert set(text) == set(direct)
     for name, frame in text.items():
         assert frame.collect() == direct[name].collect(), name
-    assert not documents(f"{tmp_path}/text/rejected/customers")
+    assert not documents(f"{versions.resolve(spark, str(tmp_path / 'text'))}/rejected/customers")
 
 
 def test_whole_numbers_with_a_zero_fraction(spark, tmp_path):
@@ -185,7 +190,7 @@ def test_whole_numbers_with_a_zero_fraction(spark, tmp_path):
     text = batch.run(spark, str(tmp_path / "text"), AS_OF)
     for name, frame in text.items():
         assert frame.collect() == plain[name].collect(), name
-    assert not documents(f"{tmp_path}/text/rejected/transactions")
+    assert not documents(f"{versions.resolve(spark, str(tmp_path / 'text'))}/rejected/transactions")
 
 
 def test_any_number_of_types(spark, tmp_path):
