@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks import fixtures as fx
 from checks import oracles
 from ledgerstar.functions.fingerprint import fingerprint
-from ledgerstar.operators import dimensions, quality
-from ledgerstar.operators.rollups import REVENUE, rollup
+from ledgerstar.operators import audience, dimensions, quality
+from ledgerstar.operators.rollups import CUSTOMER_KEYS, REVENUE, rollup
 from ledgerstar.plans import batch, charts, reports
 from ledgerstar.schemas import (
     FACT_PARTITIONS,
@@ -19,7 +19,7 @@ from ledgerstar.schemas import (
     raw_schemas,
     table_schemas,
 )
-from ledgerstar.sinks import files as sinks
+from ledgerstar.sinks import files as sinks, layouts
 from ledgerstar.sources import files as sources
 
 try:
@@ -240,6 +240,42 @@ def _partitioned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact in files that each cover few days of few customers."""
+    path = f"{fx.scratch(spark)}/clustered"
+    layouts.write_clustered(fx.fact(spark, sf_dir), path, ("transaction_date", "customer_id"), 16)
+    return sources.read_parquet(spark, path, TABLES["fact_transactions"])
+
+
+def _on_buckets(plan: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """Reports from a rollup and a dimension that are filed by customer, joined without a shuffle."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = fx.scratch(spark)
+        name = base.rsplit("-", 1)[-1]
+        spending = rollup(fx.fact(spark, sf_dir), *CUSTOMER_KEYS)
+        tables = {"spending": spending, "people": fx.dim_customers(spark, sf_dir)}
+        filed = {
+            key: layouts.write_bucketed(frame, f"{key}_{name}", f"{base}/{key}", "customer_id", 8)
+            for key, frame in tables.items()
+        }
+        return plan(filed["spending"], filed["people"])
+
+    return query
+
+
+def _distinct_customers(*keys: str) -> Query:
+    """From the written bitmaps per month and type, for fewer keys."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = f"{fx.scratch(spark)}/active"
+        wide = ("tx_year", "tx_month", "transaction_type")
+        sinks.write_parquet(audience.customer_bitmaps(fx.fact(spark, sf_dir), *wide), path)
+        return audience.distinct_customers(spark.read.parquet(path), *keys)
+
+    return query
+
+
 def _json(spark: SparkSession, frame: DataFrame) -> DataFrame:
     path = f"{fx.scratch(spark)}/result"
     sinks.write_json(frame, path)
@@ -351,6 +387,12 @@ def _star_queries() -> dict[str, Query]:
         "sink_parquet": _parquet_customers,
         "sink_parquet_by_type": _parquet_by_type,
         "sink_parquet_by_month": _parquet_by_month,
+        "sink_parquet_clustered": _clustered,
+        "q2_bucketed": _on_buckets(reports.revenue_by_account),
+        "q3_bucketed": _on_buckets(reports.top_customers),
+        "customers_by_month_type": _distinct_customers("tx_year", "tx_month", "transaction_type"),
+        "customers_by_year": _distinct_customers("tx_year"),
+        "customers_by_type": _distinct_customers("transaction_type"),
         "sink_json": _json_report,
         "sink_quality_report": _json_quality,
     }

@@ -222,6 +222,10 @@ _TOP = """FROM fact f JOIN dim_customers c ON f.customer_id = c.customer_id
 GROUP BY c.customer_id, first_name, last_name, account_type
 ORDER BY SUM(amount) DESC, c.customer_id LIMIT 10"""
 
+_TOP_CUSTOMERS = f"""{_STAR} SELECT c.customer_id,
+            first_name || ' ' || last_name AS customer_name, account_type,
+            COUNT(*) AS transaction_count, {_REVENUE} AS total_spend {_TOP}"""
+
 _CLEAN_ROWS = f"{_STAR} SELECT {_CLEAN_COLUMNS} FROM clean"
 _FACT_ROWS = f"{_STAR} SELECT {_FACT_COLUMNS} FROM fact"
 _TX_ROWS = f"{_RAW} SELECT {_TX_COLUMNS} FROM tx"
@@ -240,9 +244,7 @@ def oracle_sql() -> dict[str, str]:
         "fact_transactions": _FACT_ROWS,
         "q1_monthly_revenue": _Q1,
         "q2_revenue_by_account": _Q2,
-        "q3_top10_customers": f"""{_STAR} SELECT c.customer_id,
-            first_name || ' ' || last_name AS customer_name, account_type,
-            COUNT(*) AS transaction_count, {_REVENUE} AS total_spend {_TOP}""",
+        "q3_top10_customers": _TOP_CUSTOMERS,
         "q4_weekend_weekday": f"""{_STAR} SELECT is_weekend,
             CASE WHEN is_weekend THEN 'Weekend' ELSE 'Weekday' END AS period,
             COUNT(*) AS transaction_count, {_REVENUE} AS total_revenue, {_MEAN} AS avg_amount
@@ -349,6 +351,15 @@ def oracle_sql() -> dict[str, str]:
         "sink_parquet": _DIM_CUSTOMER_ROWS,
         "sink_parquet_by_type": _CLEAN_ROWS,
         "sink_parquet_by_month": _FACT_ROWS,
+        "sink_parquet_clustered": _FACT_ROWS,
+        "q2_bucketed": _Q2,
+        "q3_bucketed": _TOP_CUSTOMERS,
+        **{
+            f"customers_by_{name}": f"{_STAR} SELECT {keys}, COUNT(DISTINCT customer_id) AS customers FROM fact GROUP BY {keys}"
+            for name, keys in (
+                ("month_type", "tx_year, tx_month, transaction_type"), ("year", "tx_year"), ("type", "transaction_type"),
+            )
+        },
         "sink_json": _Q1,
         "src_parquet_partitioned": f"""{_STAR} SELECT tx_year, tx_month, transaction_type,
             COUNT(*) AS row_count, {_REVENUE} AS revenue FROM fact GROUP BY ALL""",
