@@ -6,7 +6,7 @@ the most points is kept, with those siblings that score well themselves or hold
 links, and it is widened to the ``article`` or ``main`` element around it. Navigation, page headers and
 footers, sidebars, notices, adverts, forms, comments of readers, scripts and styles never count. Words in
 class, id and role name such parts only where the element holds neither the article with the most text,
-nor ``main``, ``h1`` or most of the page's text; comments stay comments however long they are, and so
+nor ``main``, ``h1`` or most of the page's text, and so do forms: many pages are one; comments stay comments however long they are, and so
 does all that lies beside an ``article`` or ``main`` with text.
 
 Inside a kept ``article`` or ``main`` a block of links goes only when its whole list is a menu: all in links,
@@ -33,11 +33,12 @@ TOKEN = re.compile(
     re.S,
 )
 NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
-MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-HIDDEN = re.compile(r"""\shidden(?:[\s=/>])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>]+)))?""")
+TELLING = re.compile("class|id|role|hidden|style", re.I)  # without these, attributes tell nothing
+UNSEEN = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
 
 # Elements of HTML, and words that name parts outside the main text
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object"}
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "annotation", "annotation-xml", "object"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "div", "dl",
@@ -45,7 +46,7 @@ BLOCKS = {
     "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "section",
     "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
-OUTSIDE = {"nav", "footer", "aside", "form", "button", "select", "menu", "head", "dialog", "fieldset"}
+OUTSIDE = {"nav", "footer", "aside", "button", "select", "menu", "head", "dialog", "fieldset"}
 OUTSIDE_WORDS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs",
     "comment", "comments", "commentlist", "consent", "cookie", "cookies", "disclaimer", "disqus", "footer",
@@ -190,13 +191,25 @@ class _Page:
             return True, set()
         if name == "header":  # of the page, not of the article
             return not any(self.tags[i] in SEMANTIC for i in self.stack), set()
-        if name in ("body", "html") or "=" not in token and "hidden" not in token:
+        if name in ("body", "html"):
             return False, set()
-        if name not in SEMANTIC and HIDDEN.search(token):
+        # a form is one only where it does not hold the article
+        words = {"form"} if name == "form" else set()
+        marks = attributes(name, token) if TELLING.search(token) else {}
+        unseen = "hidden" in marks or marks.get("aria-hidden", "").strip().lower() == "true"
+        if name not in SEMANTIC and (unseen or UNSEEN.search(marks.get("style", ""))):
             return True, set()
-        named = " ".join(a or b or c for a, b, c in MARKS.findall(token))
+        named = " ".join(marks.get(x, "") for x in ("class", "id", "role"))
         parts = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", named).lower())
-        return False, OUTSIDE_WORDS.intersection(parts)
+        return False, words | OUTSIDE_WORDS.intersection(parts)
+
+
+def attributes(name: str, token: str) -> dict[str, str]:
+    """Values by lower-case name; of a repeated name the first counts."""
+    found: dict[str, str] = {}
+    for key, *values in ATTRIBUTE.findall(token, len(name) + 1):
+        found.setdefault(key.lower(), "".join(values))
+    return found
 
 
 def parse(markup: str) -> _Page:
