@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerstar.llm import words as W
 from ledgerstar.llm.tables import Tables
@@ -41,7 +41,7 @@ MISS = 1e-5  # chance to give up a pair exactly at the threshold
 BLOCK = 2048  # members of a bucket on either side of one comparison
 BLOCK_BYTES = 16 << 20  # of their sets
 
-SIGNED = "doc_id long, n_shingles long, rep long, bands array<bigint>, signature binary"
+SIGNED = "doc_id long, print long, n_shingles long, rep long, bands array<bigint>, signature binary"
 SETS = "rep long, shingles binary"
 
 
@@ -131,12 +131,13 @@ def _sign(batches, size: int, rows: int) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 part.column("doc_id"),
+                part.column("print"),
                 pa.array(map(len, sets), pa.int64()),
                 pa.array(map(_rep, sets), pa.int64()),
                 pa.array([None if x is None else _band_keys(x, rows) for x in signs], pa.list_(pa.int64())),
                 pa.array([None if x is None else x.tobytes() for x in signs], pa.binary()),
             ],
-            names=["doc_id", "n_shingles", "rep", "bands", "signature"],
+            names=["doc_id", "print", "n_shingles", "rep", "bands", "signature"],
         )
 
 
@@ -346,14 +347,26 @@ def components(links: DataFrame, tables: Tables, label: str) -> DataFrame:
 # The operator ---------------------------------------------------------------------------
 
 
+def _print(text: Column) -> Column:
+    """Tells the texts of rows that share an id apart."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def linked(
     documents: DataFrame, tables: Tables, size: int = WORDS_PER_SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``."""
+    return judged(documents, tables, size, percent).drop("print")
+
+
+def judged(documents: DataFrame, tables: Tables, size: int, percent: int) -> DataFrame:
+    """As :func:`linked`, with a ``print`` of each row's text."""
     rows = rows_per_band(percent)
-    texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    texts = documents.select(
+        F.col("doc_id").cast("long"), F.col("text").cast("string"), _print(F.col("text")).alias("print")
+    )
     signed = tables.save(texts.mapInArrow(lambda batches: _sign(batches, size, rows), SIGNED), "signed")
-    classed = tables.save(signed.select("doc_id", "n_shingles", "rep"), "classed")
+    classed = tables.save(signed.select("doc_id", "print", "n_shingles", "rep"), "classed")
     owner = tables.save(
         classed.filter("rep IS NOT NULL AND doc_id IS NOT NULL").groupBy("rep").agg(F.min("doc_id").alias("owner")),
         "owner",
@@ -374,7 +387,8 @@ def linked(
     mates = members.select(F.col("rep").alias("of")).distinct().join(owner, F.expr("of = rep")).select("owner")
     # partitioned by id, rows that repeat an id meet in one task
     sets = tables.save(
-        texts.repartition("doc_id")
+        texts.drop("print")
+        .repartition("doc_id")
         .join(mates.distinct(), F.expr("doc_id = owner"), "left_semi")
         .mapInArrow(lambda batches: _sets(batches, size), SETS),
         "sets",
@@ -397,6 +411,7 @@ def linked(
         classed.join(verdicts, F.expr("rep = of"), "left")
         .select(
             "doc_id",
+            "print",
             "n_shingles",
             F.expr("CASE WHEN doc_id IS NOT NULL THEN coalesce(component_id, doc_id) END").alias("component_id"),
         )
@@ -407,9 +422,19 @@ def linked(
 def dedup(
     documents: DataFrame, tables: Tables, size: int = WORDS_PER_SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """The documents without those that a smaller id of their component stands for."""
+    """The documents without those that a smaller id of their component stands for.
+
+    Each row goes or stays by its own text: where an id occurs with two texts, one may go alone.
+    """
     gone = tables.save(
-        linked(documents, tables, size, percent).filter("NOT kept").select(F.col("doc_id").alias("of")).distinct(),
+        judged(documents, tables, size, percent)
+        .filter("NOT kept AND doc_id IS NOT NULL")
+        .selectExpr("doc_id AS gone_id", "print AS gone_print")
+        .distinct(),
         "gone",
     )
-    return documents.join(gone, F.col("doc_id") == F.col("of"), "left_anti")
+    rows = documents.select(
+        F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"), _print(F.col("text")).alias("print")
+    )
+    met = (rows.id == gone.gone_id) & (rows.print == gone.gone_print)
+    return rows.join(gone, met, "left_anti").select("doc.*")
