@@ -53,7 +53,9 @@ def curve(frame: DataFrame, columns: Sequence[str], cells: int = CELLS) -> Colum
     for i, (name, number) in enumerate(numbers.items()):
         bounds = sorted(set(found[name] or []))
         cell = F.coalesce(_steps_below(number, bounds), F.lit(0)).cast("bigint")
-        place = place.bitwiseOR(F.shiftleft(_spread(cell, len(columns), bits), i))
+        # the cell is bound to a variable, so its search is one expression and not one for each bit
+        spread = F.transform(F.array(cell), lambda x: _spread(x, len(columns), bits))[0]
+        place = place.bitwiseOR(F.shiftleft(spread, i))
     return place
 
 
