@@ -1,6 +1,7 @@
 """Corpus operators against brute force, exact round trips, and awkward rows."""
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -141,14 +142,58 @@ def test_rules_see_the_whole_url(spark, bad, good):
 
 
 def test_mining_is_bounded_by_support(spark):
-    """30 features on overlapping pages have 2**30 combinations; single ones keep the least support."""
+    """30 features on overlapping pages have 2**30 combinations; single ones and pairs keep the least support."""
     rng = np.random.default_rng(1)
-    made = [(i, "http://h/" + "/".join(f"{'ab'[int(x < 0.05)]}" for x in rng.random(30))) for i in range(400)]
+    dense = ["/".join(f"{'ab'[int(x < 0.05)]}" for x in rng.random(30)) for _ in range(800)]
+    made = [(i, f"http://h/{x}") for i, x in enumerate(dense)]
     made += [(1000 + i, f"http://h/pills/{i}") for i in range(25)]
+    made += [(2000 + i, f"http://{'fgh'[i % 3]}/{'xy'[i // 3 % 2]}/{i}") for i in range(180)]
     pages = spark.createDataFrame(made, "page_id long, url string")
-    labels = spark.createDataFrame([(i, int(i < 1000)) for i, _ in made], "doc_id long, quality int")
-    mined = rows(urls.mine(pages, labels, Tables(spark, "t")))
-    assert ["p1:pills"] in [r["body"] for r in mined]
+
+    def low(i):
+        return i < 200 or 1000 <= i < 2000 or i >= 2000 and (i - 2000) % 6 == 5
+
+    labels = spark.createDataFrame([(i, int(not low(i))) for i, _ in made], "doc_id long, quality int")
+    mined = [set(r["body"]) for r in rows(urls.mine(pages, labels, Tables(spark, "t")))]
+    assert {"p1:pills"} in mined and {"h1:h", "p1:y"} in mined
+
+
+@pytest.mark.parametrize("parameters", [25, 60])
+def test_good_pages_with_long_queries_hide_no_rule(spark, parameters):
+    """Bad exactly when two path segments come together, beside good pages with many parameters."""
+    made = [(i, f"http://h.org/{'xyz'[i % 3]}/{'uvw'[i // 3 % 3]}/{i}") for i in range(900)]
+    bad = {i for i, _ in made if i % 3 == 0 and i // 3 % 3 == 0}
+    rng = np.random.default_rng(2)
+    for i in range(900):
+        query = "&".join(f"k{chr(97 + k // 26)}{chr(97 + k % 26)}=1" for k in range(parameters) if rng.random() < 0.9)
+        made.append((1000 + i, f"http://shop.org/{'xy'[i % 2]}/v/?{query}"))
+    pages = spark.createDataFrame(made, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i not in bad)) for i, _ in made], "doc_id long, quality int")
+    got = rows(urls.judged(pages, labels, Tables(spark, "t"), ()))
+    assert {r["page_id"] for r in got if r["verdict"] == "block"} == bad
+
+
+def test_rules_equal_brute_force(spark):
+    """All minimal rules over query keys, with bodies of up to five features."""
+    rng = np.random.default_rng(3)
+    sets = [frozenset(k for k in "abcdefg" if rng.random() < 0.6) for _ in range(600)]
+    low = [
+        len(x & set("abc")) == 3 or {"d", "e"} <= x and not x & set("fg") or set("defg") <= x and rng.random() < 0.6
+        for x in sets
+    ]
+    made = [(i, "http://h/?" + "&".join(sorted(x))) for i, x in enumerate(sets)]
+    pages = spark.createDataFrame(made, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(not x)) for i, x in enumerate(low)], "doc_id long, quality int")
+    expected = {}
+    for size in range(1, 8):
+        for body in map(frozenset, itertools.combinations("abcdefg", size)):
+            seen = [bad for x, bad in zip(sets, low) if body <= x]
+            if sum(seen) >= urls.MIN_PAGES and sum(seen) >= 0.7 * len(seen) and not any(x < body for x in expected):
+                expected[body] = (sum(seen) / len(sets), sum(seen) / len(seen))
+    mined = rows(urls.mine(pages, labels.unionByName(labels), Tables(spark, "t"), min_confidence=0.7))
+    got = {frozenset(x[2:] for x in r["body"]): (r["support"], r["confidence"]) for r in mined}
+    assert len(mined) == len(got) == len(expected) > 1 and max(map(len, got)) > 2
+    assert all(got[x] == pytest.approx(y) for x, y in expected.items())
 
 
 def test_exact(spark, awkward):
