@@ -8,7 +8,9 @@ buckets, where the bytes of both texts are compared.
 
 Of equal texts the row with the most code points in the original text stays, then the smallest id.
 Defined results: a null text counts as empty; a null id comes after all others; rows with equal ids
-and equal texts share one verdict; an empty batch or snapshot is screened like any other.
+and equal texts share one verdict, and ``dedup`` keeps one of them: the one with the most code points, then the
+greatest original text, and any of those that differ in other columns alone; an empty batch or snapshot is
+screened like any other.
 """
 
 from __future__ import annotations
@@ -110,23 +112,25 @@ def confirmed(positives: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def verdicts(documents: DataFrame, tables: Tables, in_snapshot: Column | None = None) -> DataFrame:
-    """Per digest and part (``earlier`` or not): ``keep_id`` and ``group_size``.
+    """Per digest and part (``earlier`` or not): ``keep_id``, ``group_size``, and whether it is ``repeated``.
 
+    Where it is not, one row alone has the id that stays in this part.
     ``in_snapshot`` tells which rows form the snapshot; the others are the new batch.
     """
     part = F.expr(EARLIER) if in_snapshot is None else in_snapshot
     rows = digested(documents, part)
-    # the smallest id is the largest negated one, so both orders are one maximum; null ids come last.
-    # Copies are merged before the shuffle: a text with a third of all rows is a row per task
+    # Copies are merged before the shuffle: a text with a third of all rows is a row per task and id
+    by_id = rows.groupBy("earlier", "digest", "doc_id").agg(F.max("n_chars").alias("n_chars"), F.count("*").alias("n"))
+    # the smallest id is the largest negated one, so both orders are one maximum; null ids come last
+    best = F.struct("n_chars", (-F.col("doc_id")).alias("id"))
     texts = tables.save(
-        rows.groupBy("earlier", "digest").agg(
-            F.max(F.struct("n_chars", (-F.col("doc_id")).alias("id"))).alias("best"),
-            F.count("*").alias("n"),
+        by_id.groupBy("earlier", "digest").agg(
+            F.max(best).alias("best"), F.max_by(F.col("n"), best).alias("n_best"), F.sum("n").alias("n")
         ),
         "texts",
     )
     buckets = max(LEAST_BUCKETS, -(-texts.count() // DIGESTS_PER_FILTER))
-    bucketed = with_bucket(texts, buckets)
+    bucketed = with_bucket(texts.drop("n_best"), buckets)
     snapshot = bucketed.filter("earlier").drop("earlier")
     batch = bucketed.filter("NOT earlier").drop("earlier")
     filters = tables.save(build_filters(snapshot), "filters")
@@ -141,6 +145,7 @@ def verdicts(documents: DataFrame, tables: Tables, in_snapshot: Column | None =
             "digest",
             F.greatest("best", "old").alias("joint_best"),
             (F.col("n") + F.col("old_n")).alias("joint_n"),
+            F.col("best.id").eqNullSafe(F.col("old.id")).alias("in_both"),
         ),
         "same",
     )
@@ -150,25 +155,41 @@ def verdicts(documents: DataFrame, tables: Tables, in_snapshot: Column | None =
             "digest",
             (-F.coalesce("joint_best", "best")["id"]).alias("keep_id"),
             F.coalesce("joint_n", "n").alias("group_size"),
+            (F.coalesce("in_both", F.lit(False)) | (F.col("n_best") > 1)).alias("repeated"),
         ),
         "verdicts",
     )
 
 
-def judged(documents: DataFrame, tables: Tables, *extra: Column) -> DataFrame:
-    """Every document with its verdict, dropped ones too.
-
-    The verdicts are a written table, so both sides of the join are shuffled for it alone, and
+def _with_verdicts(documents: DataFrame, found: DataFrame, *extra: Column) -> DataFrame:
+    """The verdicts are a written table, so both sides of the join are shuffled for it alone, and
     adaptive execution may cut a digest with very many copies into several tasks.
     """
-    found = verdicts(documents, tables).withColumnsRenamed(
-        {"digest": "of_digest", "earlier": "of_part"}
-    )
+    found = found.withColumnsRenamed({"digest": "of_digest", "earlier": "of_part"})
     rows = digested(documents, F.expr(EARLIER), *extra)
     met = (rows.digest == found.of_digest) & (rows.earlier == found.of_part)
     return rows.join(found, met).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
 
 
+def judged(documents: DataFrame, tables: Tables, *extra: Column) -> DataFrame:
+    """Every document with its verdict, dropped ones too."""
+    return _with_verdicts(documents, verdicts(documents, tables), *extra)
+
+
 def dedup(documents: DataFrame, tables: Tables) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    return judged(documents, tables, F.struct("*").alias("doc")).filter("kept").select("doc.*")
+    """The documents that stay, with all their columns; one row of each text.
+
+    Rows with the id that stays are told apart only for texts where it is repeated: those rows are written, and
+    reduced in their tasks before they are shuffled, however many there are.
+    """
+    found = verdicts(documents, tables)
+    doc = F.struct("*").alias("doc")
+    if found.filter("repeated").isEmpty():
+        return _with_verdicts(documents, found, doc).filter("kept").select("doc.*")
+    once = _with_verdicts(documents, found.filter("NOT repeated"), doc).filter("kept").select("doc.*")
+    rows = tables.save(
+        _with_verdicts(documents, found.filter("repeated"), doc).filter("kept").select("digest", "n_chars", "doc"),
+        "repeated",
+    )
+    longest = F.max_by("doc", F.struct("n_chars", "doc.text")).alias("doc")
+    return once.unionByName(rows.groupBy("digest").agg(longest).select("doc.*"))

@@ -2,7 +2,7 @@
 
 import pytest
 
-from ledgerstar.llm import html, neardup
+from ledgerstar.llm import exact, html, neardup
 from ledgerstar.llm.tables import Tables
 
 TEXT = " ".join(f"word{i}" for i in range(60))
@@ -20,6 +20,22 @@ def test_each_row_goes_by_its_own_text(spark):
     assert neardup.dedup(frame.withColumnsRenamed(names), Tables(spark, "t")).count() == 4
 
 
+def test_one_of_equal_rows_stays(spark):
+    rows = [(1, TEXT, 1, {"k": 1}), (1, TEXT, 2, None), (1, OTHER, 3, {}), (2, TEXT + " ", 4, {}), (3, "once", 5, {})]
+    rows += [(2, " " + TEXT, 6, {}), (4, None, 7, {}), (None, "", 8, {}), (5, "five", 9, {}), (5, " five", 10, {})]
+    rows += [(None, "no id", i, {}) for i in range(20, 60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, digest long, kept map<string, long>")
+    found = exact.dedup(frame, Tables(spark, "t"))
+    assert found.columns == frame.columns
+    got = sorted((r["digest"], r["doc_id"]) for r in found.collect())
+    # of the rows of id 2 with TEXT the greater original text stays; any one of those without an id
+    assert got[:-1] == [(3, 1), (4, 2), (5, 3), (7, 4), (10, 5)] and got[-1][0] >= 20
+    names = {"digest": "n_best", "kept": "of_digest"}
+    assert exact.dedup(frame.withColumnsRenamed(names), Tables(spark, "t")).count() == 6
+    verdicts = {(r["doc_id"], r["keep_id"], r["group_size"]) for r in exact.judged(frame, Tables(spark, "t")).collect()}
+    assert (1, 2, 4) in verdicts and (None, None, 40) in verdicts and (None, 4, 2) in verdicts
+
+
 @pytest.mark.parametrize(
     "markup, expected",
     [
