@@ -1,8 +1,12 @@
 """Rows that share an id, columns that clash, and article text that looks like something else."""
 
+import random
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
-from ledgerstar.llm import exact, html, neardup
+from ledgerstar.llm import exact, html, neardup, pii
 from ledgerstar.llm.tables import Tables
 
 TEXT = " ".join(f"word{i}" for i in range(60))
@@ -36,6 +40,66 @@ def test_one_of_equal_rows_stays(spark):
     assert (1, 2, 4) in verdicts and (None, None, 40) in verdicts and (None, 4, 2) in verdicts
 
 
+PHRASES = [  # text, personal data in it, kind
+    ("Call us under (030) 555 0100 today", "(030) 555 0100", "phone"),
+    ("my phone 555 123 4567, evenings", "555 123 4567", "phone"),
+    ("tel: 0171/555 2368", "0171/555 2368", "phone"),
+    ("Pay to DE89 3704 0044 0532 0130 00 NOW", "DE89 3704 0044 0532 0130 00", "iban"),
+    ("IBAN GB82WEST12345698765432.", "GB82WEST12345698765432", "iban"),
+    ("Her number is 078-05-1120.", "078-05-1120", "ssn"),
+    ("He lives at 221B Baker Street, upstairs", "221B Baker Street", "address"),
+    ("wohnhaft Lange Hauptstraße 12 in Bonn", "Hauptstraße 12", "address"),
+    ("Dear Mrs. Agatha Q. Pumblechook, thank you", "Agatha Q. Pumblechook", "name"),
+    ("as Maria Lopez-Garcia said", "Maria Lopez-Garcia", "name"),
+]
+PLAIN = [
+    "on 2024-05-13 and 13.05.2024, in 1999-2004", "numbers 10 20 30 40 50 60 70 80 90", "The United States Senate met",
+    "see DE12 3704 0044 0532 0130 00", "chapter 12 34 56", "the Martin Luther King Street", "In Spring New Rules Apply",
+]
+
+
+def test_phrases_of_personal_data(spark):
+    texts = [x[0] for x in PHRASES] + PLAIN + [None, "", "1 " * 30_000, "Ab " * 20_000]
+    rows = [(i, x) for i, x in enumerate(texts)] + [(None, "Call (030) 555 0100")] * 2
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.judged(frame, Tables(spark, "t"), "doc_id", F.col("text").alias("body")).collect()
+    spans = {r["doc_id"]: {(r["body"][x.start : x.end], x.kind) for x in r["spans"]} for r in found if r["body"]}
+    for i, (_, body, kind) in enumerate(PHRASES):
+        assert spans[i] == {(body, kind)}
+    assert all(not spans.get(i) for i in range(len(PHRASES), len(texts)))
+    assert spans[None] == {("(030) 555 0100", "phone")} and len(found) == len(rows)
+
+
+def test_spans_of_a_text_with_very_many(spark):
+    text = "".join(f"{i} mail a{i}@b.org, " for i in range(1500))
+    row = pii.matched(spark.createDataFrame([(text,)], "text string"), F.lit(1).alias("one")).first()
+    assert [(x.start, x.end) for x in row.email] == [x.span() for x in re.finditer(r"a[0-9]+@b[.]org", text)]
+    assert [x.body for x in row.candidates] == [x for x in text.split() if x != "mail"]
+
+
+def test_estimates_equal_plain_loops(spark):
+    rng = random.Random(1)
+    made = [(rng.choice("ab"), [rng.choice([-1, 0, 1, 1]) for _ in range(3)], rng.randint(1, 50)) for _ in range(60)]
+    shares, right = {"a": 0.5, "b": 0.5}, [pii.START] * 3
+    for _ in range(pii.STEPS):
+        p = []
+        for shape, votes, _ in made:
+            odds = shares[shape] / (1 - shares[shape])
+            for v, r in zip(votes, right):
+                odds *= {1: r / (1 - r), 0: (1 - r) / r, -1: 1}[v]
+            p.append(odds / (1 + odds))
+        for shape in shares:
+            own = [(x, n) for x, (s, _, n) in zip(p, made) if s == shape]
+            shares[shape] = min(max((sum(x * n for x, n in own) + 1) / (sum(n for _, n in own) + 2), 0.01), 0.99)
+        for i in range(3):
+            own = [(x if v[i] else 1 - x, n) for x, (_, v, n) in zip(p, made) if v[i] >= 0]
+            agreed = sum(x * n for x, n in own) + pii.START * pii.WORTH
+            right[i] = min(max(agreed / (sum(n for _, n in own) + pii.WORTH), 0.05), 0.99)
+    patterns = spark.createDataFrame(made, "shape string, votes array<tinyint>, n long")
+    got = pii.estimate(patterns, 3)
+    assert got[0] == pytest.approx(shares, abs=1e-9) and got[1] == pytest.approx(right, abs=1e-9)
+
+
 @pytest.mark.parametrize(
     "markup, expected",
     [
