@@ -6,9 +6,9 @@ Training counts are taken over all texts that are not held out. With ``c`` the c
     P(w | h) = (c(hw) + PRIOR * P(w | h')) / (c(h) + PRIOR),    h' = h without its first word,
 
 down to ``P(w) = (c(w) + 1) / (N + V + 1)``; each order adds up to one. As an automaton, every context seen
-in training is a state, every n-gram seen is an arc with its probability, and the failure arc from ``h`` to
-``h'`` carries the weight ``PRIOR / (c(h) + PRIOR)``. A text is read once from left to right: a word without
-an arc takes the failure arcs to a state that has one, and logarithms add up.
+in training is a state, every n-gram seen is an arc with its probability to the longest state that ends it, and
+the failure arc from ``h`` to ``h'`` carries the weight ``PRIOR / (c(h) + PRIOR)``. A text is read once from left
+to right: a word without an arc takes the failure arcs to a state that has one, and logarithms add up.
 
 The automaton grows with the corpus and is never in one place. Texts are written as blocks of
 bounded size; a block asks for the counts of exactly the n-grams it contains, its own training counts being
@@ -24,7 +24,10 @@ result; a text of any length lies whole in one block.
 from __future__ import annotations
 
 import math
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -199,6 +202,86 @@ def _answer(group: pd.DataFrame) -> pd.DataFrame:
 # The automaton of a block ----------------------------------------------------------------
 
 
+class Automaton(NamedTuple):
+    """States, and each state's arcs in the order of their words. State 0 has an arc for every word."""
+
+    first: list[int]  # where the arcs of each state begin, and the end of the last
+    word: array
+    weight: array  # log10 of the probability
+    target: array
+    fail: list[int]  # of each state: the longest state that ends it, and what going there costs
+    cost: list[float]
+
+
+def _automaton(levels: list[tuple[np.ndarray, np.ndarray]], stream: np.ndarray, n: int, v: int) -> tuple[Automaton, int]:
+    """The automaton of the n-grams of a block, and the state before the first word of a text.
+
+    ``levels`` has for each order the training counts of its n-grams, and the n-gram that ends at each
+    place of ``stream``, or -1.
+    """
+    counts, number = levels[0]
+    prob = (counts + 1) / (n + v + 1)
+    words, every = len(counts), np.arange(len(counts))
+    sources, spelled, weights = [np.zeros(words, np.int64)], [every], [np.log10(prob)]
+    fails, costs, targets = [np.zeros(1, np.int64)], [np.zeros(1)], []
+    states, shorter_number, states_n = np.zeros(words, np.int64), None, 1
+    for level, (counts, number) in enumerate(levels):
+        if level:
+            place = np.empty(len(counts), np.int64)
+            ends = np.flatnonzero(number >= 0)
+            place[number[ends]] = ends
+            context, ending = shorter_number[place - 1], shorter_number[place]
+            before, shorter = shorter_counts[context], states[ending]
+            prob = np.where(before > 0, (counts + PRIOR * prob[ending]) / (before + PRIOR), prob[ending])
+            seen = (counts > 0) & (before > 0)
+            sources.append(states[context][seen])
+            spelled.append(stream[place[seen]])
+            weights.append(np.log10(prob[seen]))
+        else:
+            seen, shorter = counts > 0, np.zeros(words, np.int64)
+        if level + 1 < len(levels):  # an n-gram seen is a state; else its longest ending that is one
+            states = shorter.copy()
+            states[seen] = np.arange(states_n, states_n + seen.sum())
+            states_n += int(seen.sum())
+            fails.append(shorter[seen])
+            costs.append(np.log10(PRIOR / (counts[seen] + PRIOR)))
+            targets.append(states if level == 0 else states[seen])
+        else:
+            targets.append(shorter if level == 0 else shorter[seen])
+        if level == 0:
+            begin = int(targets[0][BEGIN])
+        shorter_number, shorter_counts = number, counts
+    source, spelled = np.concatenate(sources), np.concatenate(spelled)
+    by = np.lexsort((spelled, source))
+    return Automaton(
+        np.searchsorted(source[by], np.arange(states_n + 1)).tolist(),
+        array("i", spelled[by].astype(np.intc).tobytes()),
+        array("d", np.concatenate(weights)[by].tobytes()),
+        array("i", np.concatenate(targets)[by].astype(np.intc).tobytes()),
+        np.concatenate(fails).tolist(),
+        np.concatenate(costs).tolist(),
+    ), begin
+
+
+def _walked(automaton: Automaton, state: int, words: list[int]) -> float:
+    """What reading ``words`` from left to right adds up to."""
+    first, spelled, weight, target, fail, cost = automaton
+    total = 0.0
+    for word in words:
+        while state:
+            end = first[state + 1]
+            at = bisect_left(spelled, word, first[state], end)
+            if at < end and spelled[at] == word:
+                break
+            total += cost[state]
+            state = fail[state]
+        else:
+            at = word
+        total += weight[at]
+        state = target[at]
+    return total
+
+
 def _score(blocks: pd.DataFrame, answers: pd.DataFrame, order: int, n: int, v: int) -> pd.DataFrame:
     row = blocks.iloc[0]
     sizes, vocabulary, held, words = _row_arrays(row)
@@ -207,26 +290,20 @@ def _score(blocks: pd.DataFrame, answers: pd.DataFrame, order: int, n: int, v: i
     for at, found in zip(answers["range"], answers["counts"]):
         counts[at % order].append(W.unpacked(found, np.int64))
 
-    prob = context_count = None
+    levels = []
     for level, (keys, number) in enumerate(_grams(vocabulary, words, sizes, order)):
         total = np.empty(len(keys), np.int64)
         total[np.argsort(keys)] = np.concatenate(counts[level])
-        here = np.where(number >= 0, total[number], 0)  # count of the n-gram that ends at each place
-        if level == 0:
-            token_count = here
-            prob = base = (here + 1) / (n + v + 1)
-        else:
-            # the state before a place is its context; without training counts it fails to the shorter one
-            before = np.concatenate([[0], context_count[:-1]])
-            before[number < 0] = 0
-            prob = np.where(before > 0, (here + PRIOR * prob) / (before + PRIOR), prob)
-        context_count = here
+        levels.append((total, number.astype(np.int32)))
+    stream, _, place = _marked(words, sizes, vocabulary)
+    automaton, begin = _automaton(levels, stream, n, v)
+    token_count = levels[0][0][stream]
+    del levels
     starts = np.cumsum(sizes + 2) - sizes - 2
-    counted = np.ones(len(prob), bool)
-    counted[starts] = False
+    texts = zip((starts + 1).tolist(), (starts + sizes + 2).tolist())
 
     def summed(values):
-        return np.add.reduceat(np.where(counted, values, 0), starts)
+        return np.add.reduceat(np.where(place > 0, values, 0), starts)
 
     return pd.DataFrame({
         "doc_id": pd.array(list(row["doc_ids"]), dtype="Int64"),
@@ -234,8 +311,8 @@ def _score(blocks: pd.DataFrame, answers: pd.DataFrame, order: int, n: int, v: i
         "n_tokens": sizes + 1,
         "n_known": summed((token_count > 0).astype(np.int64)),
         "train_tokens": n,
-        "base_score": summed(np.log10(base)),
-        "score": summed(np.log10(prob)),
+        "base_score": summed(np.log10((token_count + 1) / (n + v + 1))),
+        "score": [_walked(automaton, begin, stream[a:b].tolist()) for a, b in texts],
     })
 
 
@@ -250,17 +327,22 @@ def scored(
         F.coalesce(held, F.lit(False)).alias("held"),
     )
     blocks = tables.save(rows.mapInArrow(lambda batches: _blocks(batches, order), BLOCKS), "blocks")
-    asked = blocks.agg(F.sum("n_keys")).first()[0] or 0
-    ranges = max(16, math.ceil(asked / order / RANGE_KEYS))
+    n_blocks, asked = blocks.agg(F.count("*"), F.sum("n_keys")).first()
+    ranges = max(16, math.ceil((asked or 0) / order / RANGE_KEYS))
     questions = blocks.select("block", "held", "sizes", "vocabulary", "words").mapInArrow(
         lambda batches: _questions(batches, order, ranges), QUESTIONS
     )
-    answers = tables.save(questions.groupBy("range").applyInPandas(_answer, ANSWERS), "answers")
+    # groups stay about equal as the corpus grows, so there are as many partitions as groups
+    asked_of = questions.repartition(ranges * order, "range").groupBy("range")
+    answers = tables.save(asked_of.applyInPandas(_answer, ANSWERS), "answers")
     v, n = answers.filter(f"range % {order} = 0").agg(F.sum("known"), F.sum("seen")).first()
     n, v = int(n or 0), int(v or 0)
+    parts = max(1, n_blocks)
+    told = answers.select("block", "range", "counts").repartition(parts, "block")
     return (
         blocks.drop("n_keys")
+        .repartition(parts, "block")
         .groupBy("block")
-        .cogroup(answers.select("block", "range", "counts").groupBy("block"))
+        .cogroup(told.groupBy("block"))
         .applyInPandas(lambda x, y: _score(x, y, order, n, v), SCORES)
     )

@@ -221,27 +221,49 @@ def test_shards(spark, awkward, texts):
         assert len(rows(binary.read(spark, folder))) == n
 
 
-def test_language_model(spark, awkward, texts):
-    got = by_id(queries.op4_backoff_lm(spark, SMALL))
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_language_model(spark, texts, order):
+    """Every order against the smoothing formula, evaluated from the longest context down."""
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = by_id(lm.scored(documents, Tables(spark, "t"), order=order))
     split = {i: ["<s>", *words(text), "</s>"] for i, text in texts.items()}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in split}
-    one, two, before = Counter(), Counter(), Counter()
+    grams, contexts = Counter(), Counter()
     for i, x in split.items():
         if not held[i]:
-            one.update(x[1:])
-            two.update(zip(x, x[1:]))
-            before.update(x[:-1])
-    n, v = sum(one.values()), len(one)
-    base = {x: (one[x] + 1) / (n + v + 1) for x in {y for x in split.values() for y in x}}
+            for at in range(1, len(x)):
+                for start in range(max(0, at - order + 1), at + 1):
+                    grams[tuple(x[start : at + 1])] += 1
+                    contexts[tuple(x[start:at])] += 1
+    n, v = contexts[()], sum(len(x) == 1 for x in grams)
+
+    def prob(x):
+        if len(x) == 1:
+            return (grams[x] + 1) / (n + v + 1)
+        return (grams[x] + lm.PRIOR * prob(x[1:])) / (contexts[x[:-1]] + lm.PRIOR)
+
     for i, x in split.items():
         r = got[i]
         assert (r["held_out"], r["train_tokens"]) == (held[i], n)
-        assert (r["n_tokens"], r["n_known"]) == (len(x) - 1, sum(one[y] > 0 for y in x[1:]))
-        assert math.isclose(r["base_score"], sum(math.log10(base[y]) for y in x[1:]), rel_tol=1e-9)
+        assert (r["n_tokens"], r["n_known"]) == (len(x) - 1, sum(grams[y,] > 0 for y in x[1:]))
+        assert math.isclose(r["base_score"], sum(math.log10(prob((y,))) for y in x[1:]), rel_tol=1e-9)
         score = sum(
-            math.log10((two[a, b] + lm.PRIOR * base[b]) / (before[a] + lm.PRIOR)) for a, b in zip(x, x[1:])
+            math.log10(prob(tuple(x[max(0, at - order + 1) : at + 1]))) for at in range(1, len(x))
         )
         assert math.isclose(r["score"], score, rel_tol=1e-9)
+
+
+def test_language_model_walk(spark, awkward, texts):
+    got = by_id(queries.op4_backoff_lm(spark, SMALL))
+    # a b a b learnt: "b" has no arc for "b", so the walk fails to the root and goes on in state "b"
+    counts = [(np.array([1, 1, 2, 2, 0]), np.array([0, 2, 3, 2, 3, 1])), (np.array([1, 2, 1, 1]), np.array([-1, 0, 1, 2, 1, 3]))]
+    automaton, state = lm._automaton(counts, np.array([0, 2, 3, 2, 3, 1]), 5, 3)
+    cost = math.log10(lm.PRIOR / (2 + lm.PRIOR))
+    root = {w: math.log10((c + 1) / 9) for w, c in zip(range(5), [1, 1, 2, 2, 0])}
+    arc = math.log10((2 + lm.PRIOR * 3 / 9) / (2 + lm.PRIOR))
+    assert math.isclose(lm._walked(automaton, 0, [3, 3, 2, 3]), root[3] + cost + root[3] + math.log10((1 + lm.PRIOR * 3 / 9) / 6) + arc)
+    assert math.isclose(lm._walked(automaton, 0, [4, 4]), 2 * root[4])
+    assert state and automaton.fail[state] == 0
     out = [r for r in got.values() if r["held_out"]]
     assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
     assert len(rows(lm.scored(awkward, Tables(spark, "t")))) == len(AWKWARD)
