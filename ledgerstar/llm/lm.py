@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import math
 from array import array
-from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -38,7 +37,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerstar.llm import words as W
 from ledgerstar.llm.tables import Tables
 
-ORDER = 2
+ORDER = 3
 PRIOR = 4.0
 BLOCK_WORDS = 2_000_000
 RANGE_KEYS = 1_500_000  # questions answered in one group, about
@@ -203,82 +202,78 @@ def _answer(group: pd.DataFrame) -> pd.DataFrame:
 
 
 class Automaton(NamedTuple):
-    """States, and each state's arcs in the order of their words. State 0 has an arc for every word."""
+    """States and arcs by number. State 0 is the empty context and has an arc for every word."""
 
-    first: list[int]  # where the arcs of each state begin, and the end of the last
-    word: array
-    weight: array  # log10 of the probability
+    weight: array  # of each arc: log10 of the probability
     target: array
-    fail: list[int]  # of each state: the longest state that ends it, and what going there costs
+    fail: list[int]  # of each state: the longest state that ends it, what going there costs, its words
     cost: list[float]
+    depth: list[int]
+    start: int  # the state before the first word of a text
 
 
-def _automaton(levels: list[tuple[np.ndarray, np.ndarray]], stream: np.ndarray, n: int, v: int) -> tuple[Automaton, int]:
-    """The automaton of the n-grams of a block, and the state before the first word of a text.
+def _automaton(levels: list[tuple[np.ndarray, np.ndarray]], n: int, v: int) -> tuple[Automaton, list[np.ndarray]]:
+    """The automaton of a block's n-grams, and for each order the arc that a place's n-gram is.
 
     ``levels`` has for each order the training counts of its n-grams, and the n-gram that ends at each
-    place of ``stream``, or -1.
+    place, or -1. An arc is an n-gram seen: it leaves the state of all its words but the last. Places
+    whose n-gram is no arc have -1.
     """
-    counts, number = levels[0]
-    prob = (counts + 1) / (n + v + 1)
-    words, every = len(counts), np.arange(len(counts))
-    sources, spelled, weights = [np.zeros(words, np.int64)], [every], [np.log10(prob)]
-    fails, costs, targets = [np.zeros(1, np.int64)], [np.zeros(1)], []
-    states, shorter_number, states_n = np.zeros(words, np.int64), None, 1
+    weights, targets, spelled, n_arcs = [], [], [], 0
+    fails, costs, depths, n_states = [np.zeros(1, np.int64)], [np.zeros(1)], [np.zeros(1, np.int64)], 1
     for level, (counts, number) in enumerate(levels):
         if level:
             place = np.empty(len(counts), np.int64)
             ends = np.flatnonzero(number >= 0)
             place[number[ends]] = ends
-            context, ending = shorter_number[place - 1], shorter_number[place]
-            before, shorter = shorter_counts[context], states[ending]
+            ending = last_number[place]
+            before, shorter = last_counts[last_number[place - 1]], states[ending]
             prob = np.where(before > 0, (counts + PRIOR * prob[ending]) / (before + PRIOR), prob[ending])
-            seen = (counts > 0) & (before > 0)
-            sources.append(states[context][seen])
-            spelled.append(stream[place[seen]])
-            weights.append(np.log10(prob[seen]))
+            arcs = seen = (counts > 0) & (before > 0)
         else:
-            seen, shorter = counts > 0, np.zeros(words, np.int64)
-        if level + 1 < len(levels):  # an n-gram seen is a state; else its longest ending that is one
-            states = shorter.copy()
-            states[seen] = np.arange(states_n, states_n + seen.sum())
-            states_n += int(seen.sum())
+            prob = (counts + 1) / (n + v + 1)
+            shorter, seen, arcs = np.zeros(len(counts), np.int64), counts > 0, np.ones(len(counts), bool)
+        states = shorter.copy()
+        if level + 1 < len(levels):  # an n-gram seen is a state; for any other stands the longest that ends it
+            states[seen] = np.arange(n_states, n_states + seen.sum())
+            n_states += int(seen.sum())
             fails.append(shorter[seen])
             costs.append(np.log10(PRIOR / (counts[seen] + PRIOR)))
-            targets.append(states if level == 0 else states[seen])
-        else:
-            targets.append(shorter if level == 0 else shorter[seen])
-        if level == 0:
-            begin = int(targets[0][BEGIN])
-        shorter_number, shorter_counts = number, counts
-    source, spelled = np.concatenate(sources), np.concatenate(spelled)
-    by = np.lexsort((spelled, source))
+            depths.append(np.full(int(seen.sum()), level + 1))
+        if not level:
+            start = int(states[BEGIN])
+        arc = np.full(len(counts) + 1, -1, np.int32)  # the last one for places without an n-gram
+        arc[:-1][arcs] = np.arange(n_arcs, n_arcs + arcs.sum(), dtype=np.int32)
+        n_arcs += int(arcs.sum())
+        spelled.append(arc[number])
+        weights.append(np.log10(prob[arcs]))
+        targets.append(states[arcs])
+        last_number, last_counts = number, counts
     return Automaton(
-        np.searchsorted(source[by], np.arange(states_n + 1)).tolist(),
-        array("i", spelled[by].astype(np.intc).tobytes()),
-        array("d", np.concatenate(weights)[by].tobytes()),
-        array("i", np.concatenate(targets)[by].astype(np.intc).tobytes()),
+        array("d", np.concatenate(weights).tobytes()),
+        array("i", np.concatenate(targets).astype(np.intc).tobytes()),
         np.concatenate(fails).tolist(),
         np.concatenate(costs).tolist(),
-    ), begin
+        np.concatenate(depths).tolist(),
+        start,
+    ), spelled
+
 
+def _walked(automaton: Automaton, spelled: Iterable[tuple[int, ...]]) -> float:
+    """What reading a text from left to right adds up to.
 
-def _walked(automaton: Automaton, state: int, words: list[int]) -> float:
-    """What reading ``words`` from left to right adds up to."""
-    first, spelled, weight, target, fail, cost = automaton
+    ``spelled`` has for each word the arcs that it can be, by the number of words in the state they leave.
+    """
+    weight, target, fail, cost, depth, state = automaton
     total = 0.0
-    for word in words:
-        while state:
-            end = first[state + 1]
-            at = bisect_left(spelled, word, first[state], end)
-            if at < end and spelled[at] == word:
-                break
+    for arcs in spelled:
+        arc = arcs[depth[state]]
+        while arc < 0:
             total += cost[state]
             state = fail[state]
-        else:
-            at = word
-        total += weight[at]
-        state = target[at]
+            arc = arcs[depth[state]]
+        total += weight[arc]
+        state = target[arc]
     return total
 
 
@@ -286,7 +281,7 @@ def _score(blocks: pd.DataFrame, answers: pd.DataFrame, order: int, n: int, v: i
     row = blocks.iloc[0]
     sizes, vocabulary, held, words = _row_arrays(row)
     answers = answers.sort_values("range")
-    counts: list[list[np.ndarray]] = [[] for _ in range(order)]
+    counts = [[np.empty(0, np.int64)] for _ in range(order)]  # short texts may lack whole orders
     for at, found in zip(answers["range"], answers["counts"]):
         counts[at % order].append(W.unpacked(found, np.int64))
 
@@ -295,15 +290,16 @@ def _score(blocks: pd.DataFrame, answers: pd.DataFrame, order: int, n: int, v: i
         total = np.empty(len(keys), np.int64)
         total[np.argsort(keys)] = np.concatenate(counts[level])
         levels.append((total, number.astype(np.int32)))
-    stream, _, place = _marked(words, sizes, vocabulary)
-    automaton, begin = _automaton(levels, stream, n, v)
-    token_count = levels[0][0][stream]
+    automaton, spelled = _automaton(levels, n, v)
+    token_count = levels[0][0][levels[0][1]]
     del levels
     starts = np.cumsum(sizes + 2) - sizes - 2
     texts = zip((starts + 1).tolist(), (starts + sizes + 2).tolist())
+    counted = np.ones(len(token_count), bool)
+    counted[starts] = False
 
     def summed(values):
-        return np.add.reduceat(np.where(place > 0, values, 0), starts)
+        return np.add.reduceat(np.where(counted, values, 0), starts)
 
     return pd.DataFrame({
         "doc_id": pd.array(list(row["doc_ids"]), dtype="Int64"),
@@ -312,7 +308,7 @@ def _score(blocks: pd.DataFrame, answers: pd.DataFrame, order: int, n: int, v: i
         "n_known": summed((token_count > 0).astype(np.int64)),
         "train_tokens": n,
         "base_score": summed(np.log10((token_count + 1) / (n + v + 1))),
-        "score": [_walked(automaton, begin, stream[a:b].tolist()) for a, b in texts],
+        "score": [_walked(automaton, zip(*(x[a:b].tolist() for x in spelled))) for a, b in texts],
     })
 
 

@@ -255,15 +255,18 @@ def test_language_model(spark, texts, order):
 
 def test_language_model_walk(spark, awkward, texts):
     got = by_id(queries.op4_backoff_lm(spark, SMALL))
-    # a b a b learnt: "b" has no arc for "b", so the walk fails to the root and goes on in state "b"
-    counts = [(np.array([1, 1, 2, 2, 0]), np.array([0, 2, 3, 2, 3, 1])), (np.array([1, 2, 1, 1]), np.array([-1, 0, 1, 2, 1, 3]))]
-    automaton, state = lm._automaton(counts, np.array([0, 2, 3, 2, 3, 1]), 5, 3)
-    cost = math.log10(lm.PRIOR / (2 + lm.PRIOR))
-    root = {w: math.log10((c + 1) / 9) for w, c in zip(range(5), [1, 1, 2, 2, 0])}
-    arc = math.log10((2 + lm.PRIOR * 3 / 9) / (2 + lm.PRIOR))
-    assert math.isclose(lm._walked(automaton, 0, [3, 3, 2, 3]), root[3] + cost + root[3] + math.log10((1 + lm.PRIOR * 3 / 9) / 6) + arc)
-    assert math.isclose(lm._walked(automaton, 0, [4, 4]), 2 * root[4])
-    assert state and automaton.fail[state] == 0
+    # b a b a b after the mark, the first pair never learnt: from "b" the walk fails to the root and goes on in "a"
+    counts = [
+        (np.array([1, 1, 2, 3, 0]), np.array([0, 3, 2, 3, 2, 1])),
+        (np.array([0, 0, 2, 1]), np.array([-1, 0, 1, 2, 1, 3])),
+    ]
+    automaton, spelled = lm._automaton(counts, 7, 3)
+    root = {w: math.log10((c + 1) / 11) for w, c in enumerate([1, 1, 2, 3])}
+    fail = {w: math.log10(lm.PRIOR / (c + lm.PRIOR)) for w, c in enumerate([1, 1, 2, 3])}
+    arc = math.log10((2 + lm.PRIOR * 4 / 11) / (2 + lm.PRIOR)), math.log10((1 + lm.PRIOR * 2 / 11) / (2 + lm.PRIOR))
+    expected = fail[0] + root[3] + fail[3] + root[2] + arc[0] + fail[3] + root[2] + arc[1]
+    walked = lm._walked(automaton, zip(*(x[1:].tolist() for x in spelled)))
+    assert math.isclose(walked, expected)
     out = [r for r in got.values() if r["held_out"]]
     assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
     assert len(rows(lm.scored(awkward, Tables(spark, "t")))) == len(AWKWARD)
