@@ -40,7 +40,7 @@ from ledgerstar.llm.tables import Tables
 ORDER = 3
 PRIOR = 4.0
 BLOCK_WORDS = 2_000_000
-RANGE_KEYS = 1_500_000  # questions answered in one group, about
+RANGE_KEYS = 1_500_000  # questions answered in one group, at most on average
 HELD_OUT = "pmod(crc32(CAST(doc_id AS STRING)), 7) = 2"
 
 # The mark before the first word, which is context only, and the one after the last
@@ -74,7 +74,7 @@ def _blocks(batches: Iterable[pa.RecordBatch], order: int) -> Iterator[pa.Record
         ordered = np.empty_like(vocabulary)
         ordered[rank] = vocabulary
         words = rank[words].astype(np.uint32)
-        n_keys = sum(len(x) for x, _ in _grams(ordered, words, lengths, order))
+        n_keys = len(ordered) + (order - 1) * len(words)  # at most; half of them or so are distinct
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([block], pa.int64()),
@@ -206,9 +206,9 @@ class Automaton(NamedTuple):
 
     weight: array  # of each arc: log10 of the probability
     target: array
-    fail: list[int]  # of each state: the longest state that ends it, what going there costs, its words
-    cost: list[float]
-    depth: list[int]
+    fail: array  # of each state: the longest state that ends it, what going there costs, its words
+    cost: array
+    depth: array
     start: int  # the state before the first word of a text
 
 
@@ -219,8 +219,8 @@ def _automaton(levels: list[tuple[np.ndarray, np.ndarray]], n: int, v: int) -> t
     place, or -1. An arc is an n-gram seen: it leaves the state of all its words but the last. Places
     whose n-gram is no arc have -1.
     """
-    weights, targets, spelled, n_arcs = [], [], [], 0
-    fails, costs, depths, n_states = [np.zeros(1, np.int64)], [np.zeros(1)], [np.zeros(1, np.int64)], 1
+    weight, target, spelled = array("d"), array("i"), []
+    fail, cost, depth = array("i", [0]), array("d", [0]), array("b", [0])
     for level, (counts, number) in enumerate(levels):
         if level:
             place = np.empty(len(counts), np.int64)
@@ -233,30 +233,21 @@ def _automaton(levels: list[tuple[np.ndarray, np.ndarray]], n: int, v: int) -> t
         else:
             prob = (counts + 1) / (n + v + 1)
             shorter, seen, arcs = np.zeros(len(counts), np.int64), counts > 0, np.ones(len(counts), bool)
-        states = shorter.copy()
+        states = shorter.astype(np.intc)
         if level + 1 < len(levels):  # an n-gram seen is a state; for any other stands the longest that ends it
-            states[seen] = np.arange(n_states, n_states + seen.sum())
-            n_states += int(seen.sum())
-            fails.append(shorter[seen])
-            costs.append(np.log10(PRIOR / (counts[seen] + PRIOR)))
-            depths.append(np.full(int(seen.sum()), level + 1))
+            states[seen] = np.arange(len(fail), len(fail) + seen.sum())
+            fail.frombytes(shorter[seen].astype(np.intc).tobytes())
+            cost.frombytes(np.log10(PRIOR / (counts[seen] + PRIOR)).tobytes())
+            depth.frombytes(np.full(int(seen.sum()), level + 1, np.int8).tobytes())
         if not level:
             start = int(states[BEGIN])
         arc = np.full(len(counts) + 1, -1, np.int32)  # the last one for places without an n-gram
-        arc[:-1][arcs] = np.arange(n_arcs, n_arcs + arcs.sum(), dtype=np.int32)
-        n_arcs += int(arcs.sum())
+        arc[:-1][arcs] = np.arange(len(weight), len(weight) + arcs.sum(), dtype=np.int32)
         spelled.append(arc[number])
-        weights.append(np.log10(prob[arcs]))
-        targets.append(states[arcs])
+        weight.frombytes(np.log10(prob[arcs]).tobytes())
+        target.frombytes(states[arcs].tobytes())
         last_number, last_counts = number, counts
-    return Automaton(
-        array("d", np.concatenate(weights).tobytes()),
-        array("i", np.concatenate(targets).astype(np.intc).tobytes()),
-        np.concatenate(fails).tolist(),
-        np.concatenate(costs).tolist(),
-        np.concatenate(depths).tolist(),
-        start,
-    ), spelled
+    return Automaton(weight, target, fail, cost, depth, start), spelled
 
 
 def _walked(automaton: Automaton, spelled: Iterable[tuple[int, ...]]) -> float:
