@@ -110,11 +110,10 @@ def _marked(words: np.ndarray, sizes: np.ndarray, vocabulary: np.ndarray):
     The marks take the numbers 0 and 1, and words follow.
     """
     starts = np.cumsum(sizes + 2) - sizes - 2
-    place = np.arange(int((sizes + 2).sum())) - np.repeat(starts, sizes + 2)
-    last = np.repeat(sizes + 1, sizes + 2)
-    stream = np.empty(len(place), np.int64)
-    stream[place == 0], stream[place == last] = BEGIN, END
-    stream[(place > 0) & (place < last)] = words.astype(np.int64) + 2
+    place = np.arange(int((sizes + 2).sum()), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes + 2)
+    stream = np.full(len(place), -1, np.int32)
+    stream[starts], stream[starts + sizes + 1] = BEGIN, END
+    stream[stream < 0] = words.astype(np.int32) + 2
     return stream, np.concatenate([np.array([BEGIN, END], np.uint64), vocabulary]), place
 
 
@@ -128,15 +127,17 @@ def _grams(vocabulary, words, sizes, order) -> Iterator[tuple[np.ndarray, np.nda
     yield vocabulary, number
     for size in range(2, order + 1):
         ends = np.flatnonzero(place >= size - 1)
-        pair = number[ends - 1] * len(vocabulary) + stream[ends]
+        pair = number[ends - 1].astype(np.int64) * len(vocabulary) + stream[ends]
         distinct, which = np.unique(pair, return_inverse=True)
+        del pair
         previous = hashed if size > 2 else W.chained(vocabulary, np.full(len(vocabulary), 1, np.uint64))
         hashed = W.chained(
             W.chained(previous[distinct // len(vocabulary)], vocabulary[distinct % len(vocabulary)]),
             np.uint64(size),
         )
-        number = np.full(len(stream), -1)
+        number = np.full(len(stream), -1, np.int32)
         number[ends] = which
+        del previous, distinct, which, ends  # nothing but the result is held while that is used
         yield hashed, number
 
 
@@ -280,7 +281,8 @@ def _score(blocks: pd.DataFrame, answers: pd.DataFrame, order: int, n: int, v: i
     for level, (keys, number) in enumerate(_grams(vocabulary, words, sizes, order)):
         total = np.empty(len(keys), np.int64)
         total[np.argsort(keys)] = np.concatenate(counts[level])
-        levels.append((total, number.astype(np.int32)))
+        counts[level] = []
+        levels.append((total, number))
     automaton, spelled = _automaton(levels, n, v)
     token_count = levels[0][0][levels[0][1]]
     del levels

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -273,6 +274,17 @@ def test_language_model_walk(spark, awkward, texts):
     assert not rows(lm.scored(awkward.limit(0), Tables(spark, "t")))
 
 
+def test_grams_of_a_block_hold_little():
+    """Nothing but the stream and the n-grams at hand stays while they are used."""
+    rng, n = np.random.default_rng(0), 200_000
+    words, vocabulary = rng.integers(0, 5000, n).astype(np.uint32), rng.integers(2, 2**63, 5000).astype(np.uint64)
+    tracemalloc.start()
+    for keys, number in lm._grams(vocabulary, words, np.full(n // 200, 200), 3):
+        held = tracemalloc.get_traced_memory()[0]
+        assert held - keys.nbytes <= 21 * n, held / n
+    tracemalloc.stop()
+
+
 def test_quality_counts(spark, awkward, texts):
     got = by_id(queries.op5_quality_rules(spark, SMALL))
     for i, text in texts.items():
