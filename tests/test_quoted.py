@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql.types import StructType
 
+import __spark_entry__ as contract
 from ledgerstar.sinks import files as sinks
 from ledgerstar.sources import files as sources
 from ledgerstar.sources import quoted
@@ -121,3 +122,19 @@ def test_compressed_text_and_empty_folders(spark, tmp_path):
     assert rows(sources.read_csv(spark, str(tmp_path / "z"), SCHEMA, multi_line=True)) == rows(frame)
     sinks.write_csv(frame.limit(0), str(tmp_path / "none"))
     assert sources.read_csv(spark, str(tmp_path / "none"), SCHEMA, multi_line=True).collect() == []
+
+
+def test_texts_are_written_by_as_many_tasks_as_read_them(spark, tmp_path, monkeypatch):
+    made = [(i, f"{i}\n\"x\", y", None, "s", i) for i in range(40)]
+    table = spark.createDataFrame(made, "doc_id long, text string, lang string, source string, n_chars long")
+    table.repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    tasks, write = [], sinks.write_csv
+
+    def noted(frame, path):
+        tasks.append(frame.rdd.getNumPartitions())
+        write(frame, path)
+
+    monkeypatch.setattr(sinks, "write_csv", noted)
+    got = contract.queries()["src_csv_multiline"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == made
+    assert tasks[0] > 1
