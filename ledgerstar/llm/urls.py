@@ -17,9 +17,10 @@ A longer minimal rule holds only frequent pairs that are neither rules nor on th
 FP-growth sees pages of low quality with the features of such pairs alone, and what it finds is counted on all
 pages. Good pages thus never decide what is mined, however long they are.
 
-FP-growth starts at the least support, which is doubled until at most ``MOST_COMBINATIONS`` can be frequent by the
-sum of ``2**features`` over what is left of the pages of low quality. This concerns bodies of three and more
-features alone, where many stand together on pages of low quality, and is logged as a warning.
+FP-growth runs at the least support where at most ``MOST_COMBINATIONS`` per page of it can be frequent, by the sum of
+``2**features`` over what is left of the pages of low quality. Elsewhere, where many features stand together
+on pages of low quality, bodies grow on by one feature at a time, counted on Spark, until nothing that they grow to can
+be a rule. Both find the same rules; no support is raised.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path, no features and the
 verdict ``allow``; labels without a page, and null labels, are left out; without labelled pages no
@@ -29,11 +30,14 @@ two different labels counts as both.
 
 from __future__ import annotations
 
-import logging
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from functools import reduce
 from typing import NamedTuple
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, functions as F
 
@@ -46,10 +50,12 @@ MOST_COMBINATIONS = 2**10 / MIN_SUPPORT
 # All pairs of a page's features, in the order of its list
 PAIRS = """flatten(transform(keys, (x, i) ->
     transform(slice(keys, i + 2, size(keys)), y -> struct(x AS a, y AS b))))"""
+BLOCK_ROWS = 8192  # pages that are counted at once
+CHUNK = 500  # heads that are counted at once
+TALLY = "head array<string>, tail string, of_body long, of_low long, remain long"
+DIGITS = 19  # of a count, so that text sorts as numbers do
 RULE = "body array<string>, key string, support double, confidence double"
 
-log = logging.getLogger(__name__)
-
 
 class HostRule(NamedTuple):
     """A host with all its subdomains, and the beginning of a path."""
@@ -118,19 +124,10 @@ def ruled(pages: DataFrame, rules: Sequence[HostRule] = RULES) -> DataFrame:
     return pages.withColumns({"rule": rule, "rule_verdict": verdict})
 
 
-def combined_from(items: DataFrame, n_items: int, least: int) -> int:
-    """Least number of pages of a longer combination, so that at most ``MOST_COMBINATIONS`` are frequent."""
-    levels = [least]
-    while levels[-1] <= n_items:  # above, no feature is left
-        levels.append(2 * levels[-1])
-    incidences = items.agg(
-        *[F.sum(F.expr(f"pow(2D, size(filter(counts, x -> x >= {x})))")).alias(f"l{x}") for x in levels]
-    ).first()
-    return next(x for x, n in zip(levels, incidences) if n <= MOST_COMBINATIONS * x or x > n_items)
-
-
-def longer(items: DataFrame, live: DataFrame, least: int, tables: Tables) -> DataFrame:
-    """Frequent bodies of three and more features on pages of low quality: ``body, of_low``.
+def longer(
+    items: DataFrame, live: DataFrame, single: DataFrame, least: int, min_confidence: float, tables: Tables
+) -> DataFrame:
+    """Bodies of three and more features, on ``least`` pages of low quality, of which some can be minimal rules: ``body``.
 
     Each feature of such a body has two partners among the ``live`` pairs on every page of the body.
     """
@@ -138,24 +135,126 @@ def longer(items: DataFrame, live: DataFrame, least: int, tables: Tables) -> Dat
         items.filter("low")
         .select("row", F.explode(F.expr(PAIRS)).alias("pair"))
         .select("row", "pair.*")
-        .join(live, ["a", "b"])
+        .join(live.select("a", "b"), ["a", "b"])
         .select("row", F.explode(F.array("a", "b")).alias("key"))
     )
     kept = paired.groupBy("row", "key").agg(F.count("*").alias("partners")).filter("partners > 1")
     of_low = kept.groupBy("key").agg(F.count("*").alias("of_low")).filter(F.col("of_low") >= least)
     left = tables.save(
-        kept.join(of_low, "key")
-        .groupBy("row")
-        .agg(F.collect_list("key").alias("items"), F.collect_list("of_low").alias("counts")),
-        "longer_items",
+        kept.join(of_low, "key").groupBy("row").agg(F.collect_list("key").alias("items")), "longer_items"
+    )
+    n, combinations = left.agg(F.count("*"), F.sum(F.expr("pow(2D, size(items))"))).first()
+    if not n:
+        return tables.spark.createDataFrame([], "body array<string>")
+    if combinations > MOST_COMBINATIONS * least:
+        return grown(items, live, single, least, min_confidence, tables)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / n)).fit(left)
+    return model.freqItemsets.select(F.array_sort("items").alias("body")).filter("size(body) > 2")
+
+
+def _blocks(group: pd.DataFrame) -> pd.DataFrame:
+    """Which rows of a block have each feature, and which are of low quality, as bits."""
+    names, of = np.unique(np.concatenate(group["keys"].tolist()), return_inverse=True)
+    row = np.repeat(np.arange(len(group)), group["keys"].map(len))
+    bits = np.zeros((len(names), -(-len(group) // 8)), np.uint8)
+    np.add.at(bits, (of, row >> 3), (128 >> (row & 7)).astype(np.uint8))
+    low = np.packbits(group["low"].to_numpy(bool))
+    return pd.DataFrame({"names": [names.tolist()], "bits": [bits.tobytes()], "low": [low.tobytes()]})
+
+
+def _tally(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts in one block of every body that is a head with one of its tails."""
+    for batch in batches:
+        for block in batch.to_pylist():
+            low = np.frombuffer(block["low"], np.uint8)
+            bits = np.frombuffer(block["bits"], np.uint8).reshape(-1, len(low))
+            bits = np.vstack([bits, np.zeros_like(low)])  # the last for features that no row has
+            place = {x: i for i, x in enumerate(block["names"])}
+            heads, tails, counts = [], [], [[], [], []]
+            for x in block["classes"]:
+                head = np.bitwise_and.reduce(bits[[place.get(y, -1) for y in x["head"]]])
+                found = bits[[place.get(y, -1) for y in x["tails"]]] & head
+                remain = np.bitwise_and.accumulate(found[::-1])[::-1] & ~low
+                heads += [x["head"]] * len(found)
+                tails += x["tails"]
+                for all_counts, part in zip(counts, (found, found & low, remain)):
+                    all_counts.append(np.bitwise_count(part).sum(1, dtype=np.int64))
+            kinds = (pa.list_(pa.string()), pa.string(), *[pa.int64()] * 3)
+            columns = (heads, tails, *map(np.concatenate, counts))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, kind) for x, kind in zip(columns, kinds)], names=[x.split()[0] for x in TALLY.split(", ")]
+            )
+
+
+def grown(
+    items: DataFrame, live: DataFrame, single: DataFrame, least: int, min_confidence: float, tables: Tables
+) -> DataFrame:
+    """Rules of three and more features, all minimal ones among them, grown by one feature at a time: ``body``.
+
+    Features are ordered from the rarest. A body is a ``head`` and a later tail; it grows by the later tails of
+    its head. Frequent bodies go on where they are no rules and on fewer pages than what they grew from. None
+    grows from a body if nothing below it can be a rule: good pages with all of its later tails remain on
+    whatever it grows to, and its pages of low quality only become fewer, as do those of each tail. Pages are
+    blocks of bits.
+    """
+    named = single.selectExpr("key", "of_key", f"lpad(of_key, {DIGITS}, '0') || key AS name")
+    of_a, of_b = named.toDF("a", "of_a", "name_a"), named.toDF("b", "of_b", "name_b")
+    pairs = tables.save(
+        live.join(of_a, "a").join(of_b, "b").selectExpr(
+            "array_sort(array(struct(name_a AS name, of_a AS n), struct(name_b AS name, of_b AS n))) AS pair"
+        ),
+        "named_pairs",
     )
-    if not (n := left.count()):
-        return tables.spark.createDataFrame([], "body array<string>, of_low long")
-    seen = combined_from(left, n, least)
-    if seen > least:
-        log.warning("bodies of three and more features are mined on at least %d pages, not %d", seen, least)
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (seen - 0.5) / n)).fit(left)
-    return model.freqItemsets.selectExpr("array_sort(items) AS body", "freq AS of_low").filter("size(body) > 2")
+    used = pairs.select(F.explode("pair.name").alias("name")).distinct()
+    kept = tables.save(
+        items.select("row", "low", F.explode("keys").alias("key"))
+        .join(named.join(used, "name"), "key")
+        .groupBy("row", "low")
+        .agg(F.collect_list("name").alias("keys")),
+        "named_items",
+    )
+    n_blocks = math.ceil(kept.count() / BLOCK_ROWS)
+    blocks = kept.groupBy(F.expr(f"pmod(xxhash64(row), {n_blocks})").alias("block")).applyInPandas(
+        _blocks, "names array<string>, bits binary, low binary"
+    )
+    blocks = tables.save(blocks, "blocks")
+    classes = pairs.groupBy(F.expr("pair[0]").alias("first")).agg(
+        F.sort_array(F.collect_list(F.expr("struct(pair[1].name AS tail, pair[1].n AS of_part)"))).alias("tails")
+    )
+    classes = classes.selectExpr("array(first.name) AS head", "first.n AS of_head", "tails")
+    is_rule = f"of_low >= {min_confidence}D * of_body"
+    # a thousandth of a page, as limits are compared with rounded products
+    can_be = f"{{0}}of_low + 0.001D >= {min_confidence}D * ({{0}}of_low + {{1}}remain)"
+    found, length = [], 2
+    while (n := (classes := tables.save(classes, f"classes{length}")).count()):
+        chunks = classes.groupBy(F.expr(f"pmod(xxhash64(head), {math.ceil(n / CHUNK)})").alias("chunk")).agg(
+            F.collect_list(F.struct("head", F.col("tails.tail").alias("tails"))).alias("classes")
+        )
+        counts = (
+            blocks.crossJoin(chunks.drop("chunk"))
+            .mapInArrow(_tally, TALLY)
+            .groupBy("head", "tail")
+            .agg(*[F.sum(x).alias(x) for x in ("of_body", "of_low", "remain")])
+            .filter(f"of_low >= {least}")
+        )
+        before = classes.select("head", "of_head", F.explode("tails").alias("x")).select("head", "of_head", "x.*")
+        counted = tables.save(counts.join(before, ["head", "tail"]), f"counted{length}")
+        found.append(counted.filter(is_rule).selectExpr("head || array(tail) AS body"))
+        going = counted.filter(f"NOT {is_rule} AND of_body < of_head AND of_body < of_part")
+        opened = f"filter(members, x -> {can_be.format('x.', 'x.')})"
+        later = f"filter(members, y -> y.tail > x.tail AND {can_be.format('y.', 'x.')})"
+        grows = f"""transform({opened}, x -> struct(head || array(x.tail) AS head, x.of_body AS of_head,
+            transform({later}, y -> struct(y.tail AS tail, y.of_body AS of_part)) AS tails))"""
+        classes = (
+            going.groupBy("head")
+            .agg(F.sort_array(F.collect_list(F.struct("tail", "of_body", "of_low", "remain"))).alias("members"))
+            .select(F.explode(F.expr(grows)).alias("x"))
+            .select("x.*")
+            .filter("size(tails) > 0")
+        )
+        length += 1
+    plain = f"array_sort(transform(body, x -> substring(x, {DIGITS + 1}))) AS body"
+    return reduce(DataFrame.unionByName, found).selectExpr(plain)
 
 
 def keyed(bodies: DataFrame, single: DataFrame) -> DataFrame:
@@ -244,14 +343,14 @@ def mine(
         .join(alone.withColumnsRenamed({"key": "a", "of_key": "of_a"}), "a")
         .join(alone.withColumnsRenamed({"key": "b", "of_key": "of_b"}), "b")
         .filter("of_body < of_a AND of_body < of_b")
-        .select("a", "b")
+        .select("a", "b", "of_body")
     )
-    found = longer(items, tables.save(live, "live"), least, tables)
+    found = longer(items, tables.save(live, "live"), single, least, min_confidence, tables)
     bodies = tables.save(minimal(keyed(found, single), short), "bodies")
     seen = (
         matches(items.withColumnRenamed("keys", "features"), bodies)
-        .groupBy("body", "key", "of_low")
-        .agg(F.count("*").alias("of_body"))
+        .groupBy("body", "key")
+        .agg(F.count("*").alias("of_body"), F.count_if("low").alias("of_low"))
     )
     long = tables.save(seen.filter(is_rule).selectExpr(*rated, "key"), "long")
     return tables.save(short.unionByName(minimal(long, long)), "rules")

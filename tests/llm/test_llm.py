@@ -197,6 +197,22 @@ def test_rules_equal_brute_force(spark):
     assert all(got[x] == pytest.approx(y) for x, y in expected.items())
 
 
+def test_many_combinations_hide_no_rule(spark, monkeypatch):
+    """Rules as by brute force where FP-growth could find too many combinations at the least support."""
+    rng = np.random.default_rng(5)
+    sets = [frozenset(k for k in "abcdefgh" if rng.random() < 0.75) for _ in range(500)]
+    low = [
+        set("abc") <= x and "h" not in x or set("defg") <= x and rng.random() < 0.55 or rng.random() < 0.2 for x in sets
+    ]
+    made = [(i, "http://h/?" + "&".join(sorted(x))) for i, x in enumerate(sets)]
+    pages = spark.createDataFrame(made, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(not x)) for i, x in enumerate(low)], "doc_id long, quality int")
+    plain = {tuple(r["body"]): r for r in rows(urls.mine(pages, labels, Tables(spark, "t"), min_confidence=0.6))}
+    monkeypatch.setattr(urls, "MOST_COMBINATIONS", 1)
+    mined = {tuple(r["body"]): r for r in rows(urls.mine(pages, labels, Tables(spark, "t"), min_confidence=0.6))}
+    assert mined == plain and max(map(len, mined)) > 3
+
+
 def test_exact(spark, awkward):
     got = rows(exact.judged(awkward, Tables(spark, "t")))
     assert len(got) == len(AWKWARD)
