@@ -332,6 +332,66 @@ def test_quality_model_sums_to_one(spark):
     assert np.isfinite(logs).all() and (10**logs).sum() <= 1 and (10**ends).sum() <= 1
 
 
+def _log_perplexities(texts):
+    """Modified Kneser-Ney inside words, by plain loops over distinct texts of one language."""
+    marked = [[f"\2{x}\3" for x in WORD.findall(text)] for text in texts]
+    ends = [(x[max(0, i - 3) : i + 1]) for x in itertools.chain(*marked) for i in range(1, len(x))]
+    leaves, orders, above = Counter(ends), {}, Counter()
+    for size in (4, 3, 2, 1):
+        grams = Counter({x: n for x, n in leaves.items() if len(x) == size})
+        for x in above:
+            grams[x[1:]] += 1
+        orders[size] = above = grams
+
+    def fall(grams, n):
+        of = [sum(x == i for x in grams.values()) for i in range(5)]
+        n = min(n, 3)
+        ratio = of[1] / (of[1] + 2 * of[2]) if of[1] + 2 * of[2] else 0
+        value = n - (n + 1) * ratio * of[n + 1] / of[n] if of[n] and of[1] + 2 * of[2] else 0
+        return value if 0 < value < n else n / 2
+
+    falls = {size: {n: fall(grams, n) for n in (1, 2, 3)} for size, grams in orders.items()}
+    seen, lost = Counter(), Counter()
+    for size, grams in orders.items():
+        for x, n in grams.items():
+            seen[size, x[:-1]] += n
+            lost[size, x[:-1]] += falls[size][min(n, 3)]
+
+    def prob(x):
+        if not x:
+            return quality.UNSEEN
+        size, n = len(x), orders[len(x)][x]
+        return (n - falls[size][min(n, 3)] + lost[size, x[:-1]] * prob(x[1:])) / seen[size, x[:-1]]
+
+    logs = {x: math.log10(prob(x)) for x in leaves}
+    return [
+        -sum(logs[x[max(0, i - 3) : i + 1]] for x in found for i in range(1, len(x))) / sum(len(x) - 1 for x in found)
+        for found in marked
+    ]
+
+
+@pytest.mark.parametrize("most", [None, 6, 0])
+def test_rare_ngrams_keep_their_probability(spark, monkeypatch, most):
+    """Perplexity is that of all n-grams, however few are broadcast; n-grams met once among 1.5 million too."""
+    if most is not None:
+        monkeypatch.setattr(quality, "MOST", most)
+    common = "alpha beta gamma delta " * (1500 if most is not None else 75_000)
+    made = [common, "zq\U0001F600k \u00e9t\u00e9 wjx\x01 beta q gammo delto v", "beta gamma alpba wjx q9 5f3a \u4e2d\u6587\u5b57 once"]
+    made += [f"alpha {chr(97 + i)}{chr(122 - i)}k beta gamma delta beta{i} gamma" for i in range(20)]
+    docs = [(i, x, "en") for i, x in enumerate(made)] + [(100, made[1] + " ", "en"), (101, made[2], None), (102, None, "en"), (None, made[1], "en")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    got = by_id(quality.verdicts(frame, Tables(spark, "t")))
+    want = _log_perplexities([x.replace("\x01", "\ufffd") for x in made])
+    for i, value in enumerate(want):
+        assert math.isclose(got[i]["log_perplexity"], value, rel_tol=1e-9), i
+    assert math.isclose(got[100]["log_perplexity"], want[1], rel_tol=1e-9)
+    assert math.isclose(got[None]["log_perplexity"], want[1], rel_tol=1e-9)
+    assert math.isclose(got[101]["log_perplexity"], _log_perplexities([made[2]])[0], rel_tol=1e-9)
+    assert len(got) == len(docs) and got[102]["log_perplexity"] is None
+    kept = [r["doc_id"] for r in rows(quality.accepted(frame, Tables(spark, "t")))]
+    assert sorted(kept, key=str) == sorted((i for i, r in got.items() if r["kept"]), key=str)
+
+
 def test_outlandish_text_is_rejected(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     odd = "".join(chr(0x4E00 + 7 * i) + " " for i in range(400))
