@@ -618,6 +618,18 @@ def test_pipeline_keeps_what_its_stages_say(spark):
     assert packed["length"].sum() == total
 
 
+def test_pipeline_judges_by_all_ngrams(spark, monkeypatch):
+    """The first stage keeps the same rows however few n-grams are broadcast; rows that share an id go apart."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    docs = docs.unionByName(docs.withColumn("text", F.lit("too short"))).unionByName(docs.filter("doc_id % 2 = 0"))
+    whole = corpus_pipeline.quality_rules(spark, docs, SMALL).select("doc_id", "text")
+    want = sorted(tuple(r) for r in whole.collect())
+    monkeypatch.setattr(quality, "MOST", 200)
+    few = corpus_pipeline.quality_rules(spark, docs, SMALL).select("doc_id", "text")
+    assert want and sorted(tuple(r) for r in few.collect()) == want
+    assert not any(text == "too short" for _, text in want)
+
+
 def test_ids_do_not_depend_on_what_a_worker_keeps(monkeypatch):
     texts = [f"word{i % 7} rare{i}  \tWord{i % 3}\n".encode() for i in range(60)] + [b"", b" "]
     found = []
