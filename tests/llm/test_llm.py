@@ -12,6 +12,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -392,6 +393,28 @@ def test_rare_ngrams_keep_their_probability(spark, monkeypatch, most):
     assert sorted(kept, key=str) == sorted((i for i, r in got.items() if r["kept"]), key=str)
 
 
+def test_model_is_asked_once_for_each_ngram(monkeypatch):
+    """New words that share n-grams cost the model one question for each, and score as each word does alone."""
+    words = [f"{a}{b}{c}ations{d}" for a in "abcd" for b in "\u00e9\U0001F600ou" for c in "lmnr" for d in "xyz"]
+    words += ["a", "\x02\x03", "ab", "\ufffdation"]
+    grams = {x[i - size : i] for x in map("\2{}\3".format, words[::2]) for size in range(1, 5) for i in range(size, len(x) + 1)}
+
+    def arrays(share):
+        of_size = [sorted(x for x in grams if len(x) == size) for size in range(1, 5)]
+        tables = [pa.table({"lang": ["en"] * len(x), "gram": x, "share": [share(y) for y in x]}) for x in of_size]
+        return quality._sorted([quality._arrays(x, i + 1) for i, x in enumerate(tables)])
+
+    model = quality.Model(*arrays(lambda x: 1 / (3 + sum(map(ord, x)) % 17)), *arrays(lambda x: 0.5 / len(x)), False)
+    found, asked, plain = [x.encode() for x in words], [], quality._find
+    alone = [model.told("en", [x]) for x in found]
+    monkeypatch.setattr(quality, "_find", lambda keys, values, wanted, default: asked.append(len(wanted)) or plain(keys, values, wanted, default))
+    logs, chars, opened = model.told("en", found)
+    assert logs.tolist() == [x[0] for x, _, _ in alone] and chars.tolist() == [x[0] for _, x, _ in alone]
+    assert opened == {i: x[0] for i, (_, _, x) in enumerate(alone) if x} and 0 < len(opened) < len(words)
+    ends = {x[max(0, i - 4) : i] for x in map("\2{}\3".format, words) for i in range(1, len(x) + 1)}
+    assert sum(asked) <= 2 * 4 * len(ends)
+
+
 def test_outlandish_text_is_rejected(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     odd = "".join(chr(0x4E00 + 7 * i) + " " for i in range(400))
