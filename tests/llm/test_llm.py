@@ -653,6 +653,21 @@ def test_pipeline_judges_by_all_ngrams(spark, monkeypatch):
     assert not any(text == "too short" for _, text in want)
 
 
+@pytest.mark.parametrize("rows, size", [(7, 1 << 20), (2048, 300), (2048, 1 << 20)])
+def test_bounded_blocks_drop_no_partner(spark, monkeypatch, rows, size):
+    """All members of a bucket meet, however small its blocks are in rows or bytes."""
+    monkeypatch.setattr(neardup, "BLOCK", rows)
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", size)
+    key = (0xABCDEF00) - (1 << 63)  # of the first band, which all share
+    made = [(i, np.array([*range(100 * (i // 2), 100 * (i // 2) + 10), 10**6 + i], np.uint64).tobytes()) for i in range(120)]
+    sets = spark.createDataFrame([(-1, np.arange(9, dtype=np.uint64).tobytes()), *made], "rep long, shingles binary")
+    members = sets.selectExpr(f"{key}L AS key", "rep", "-1L AS center")
+    reps = sets.select("rep", F.lit(bytes(2 * neardup.HASHES)).alias("signature"))
+    comps = spark.createDataFrame([], "id long, comp long")
+    found = neardup.across(members, reps, sets, comps, 80, neardup.rows_per_band(80)).collect()
+    assert sorted(sorted((r.a, r.b)) for r in found) == [[i, i + 1] for i in range(0, 120, 2)]
+
+
 def test_ids_do_not_depend_on_what_a_worker_keeps(monkeypatch):
     texts = [f"word{i % 7} rare{i}  \tWord{i % 3}\n".encode() for i in range(60)] + [b"", b" "]
     found = []
